@@ -6,6 +6,8 @@ import importlib
 
 _MODULES = {
     "op6_quality_rules": "quality_rules",
+    "op7_token_counts": "token_counts",
+    "op10_packing": "packing",
 }
 
 
