@@ -5,6 +5,8 @@ from __future__ import annotations
 import importlib
 
 _MODULES = {
+    "op2_toxicity": "toxicity",
+    "op9_language_id": "language_id",
     "op6_quality_rules": "quality_rules",
     "op7_token_counts": "token_counts",
     "op10_packing": "packing",
