@@ -25,8 +25,10 @@ from .shared import id_remainder, sample_at_most, table
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, D_WORD, D_CHAR = 8, 4, 8
-WORD_BITS, CHAR_BITS = 16, 18
-TRAIN_ROWS = 2500
+WORD_BITS, CHAR_BITS = 16, 19
+TRAIN_ROWS = 2000
+#: Documents' worth of the base rate that every n-gram counts as besides what was seen.
+PRIOR = 10.0
 U = np.uint64
 # Words are runs of ASCII letters, digits and all bytes beyond ASCII.
 _APART = np.ones(256, bool)
@@ -58,6 +60,13 @@ def vocabulary_of(buf: np.ndarray, offs: np.ndarray):
             ok = owner[:n] == owner[k - 1 :]
             slots.append((K.mix(v[ok] + U(k << 50)) >> U(64 - CHAR_BITS)).astype(np.int64))
             owners.append(owner[:n][ok])
+    for k in (6, 7, 8, 9):  # of longer n-grams, those at a word's start and end
+        for at in (edge[lens > k], (edge + lens - k)[lens > k]):
+            v = np.zeros(len(at), U)
+            for j in range(k):
+                v = v * U(257) + flat[at + j].astype(U)
+            slots.append((K.mix(v + U(k << 50)) >> U(64 - CHAR_BITS)).astype(np.int64))
+            owners.append(owner[at])
     slot, own = (np.concatenate(slots), np.concatenate(owners)) if slots else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     order = np.argsort(own, kind="stable")
     slot = slot[order]
@@ -72,6 +81,11 @@ def means(table_: np.ndarray, slot: np.ndarray, bounds: np.ndarray) -> np.ndarra
     return np.add.reduceat(table_[slot], bounds[:-1], axis=0) / np.maximum(np.diff(bounds), 1)[:, None].astype(np.float32)
 
 
+def peaks(odds: np.ndarray, slot: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Highest log-odds among each word's n-grams."""
+    return np.maximum.reduceat(odds[slot], bounds[:-1]) if len(bounds) > 1 else np.zeros(0, np.float32)
+
+
 def windows_of(bounds: np.ndarray):
     """(row, first place, words) of all windows: STRIDE apart, the last one up to the row's end."""
     n = np.diff(bounds)
@@ -146,7 +160,7 @@ def backward(m: dict, g: np.ndarray, size: np.ndarray, states, a, e, pooled, tap
 def start(seed: int = 5) -> dict:
     rng = np.random.default_rng(seed)
     n = lambda *s: (rng.standard_normal(s) / np.sqrt(s[-2])).astype(np.float32)
-    d, h = D_WORD + D_CHAR, HIDDEN
+    d, h = D_WORD + D_CHAR + 1, HIDDEN
     return {
         "ew": (0.05 * rng.standard_normal((1 << WORD_BITS, D_WORD))).astype(np.float32), "ec": (0.05 * rng.standard_normal((1 << CHAR_BITS, D_CHAR))).astype(np.float32),
         "wx": n(d, 6 * h), "b": np.zeros(6 * h, np.float32), "u": n(2, h, 3 * h), "wa": n(2 * h, h), "va": n(1, h)[0], "wo": n(1, 2 * h)[0], "bo": np.float32(0),
@@ -154,7 +168,7 @@ def start(seed: int = 5) -> dict:
 
 
 def inputs(m: dict, keys, slot, bounds) -> np.ndarray:
-    return np.concatenate([m["ew"][(keys >> U(64 - WORD_BITS)).astype(np.int64)], means(m["ec"], slot, bounds)], 1)
+    return np.concatenate([m["ew"][(keys >> U(64 - WORD_BITS)).astype(np.int64)], means(m["ec"], slot, bounds), peaks(m["odds"], slot, bounds)[:, None]], 1)
 
 
 def _gather(px: np.ndarray, inv: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -181,7 +195,7 @@ def row_scores(m: dict, buf: np.ndarray, offs: np.ndarray):
     return best, where
 
 
-def fit(texts: list[str], labels: list[int], rounds: int = 3, epochs: int = 3, batch: int = 64) -> dict | None:
+def fit(texts: list[str], labels: list[int], rounds: int = 2, epochs: int = 3, batch: int = 128) -> dict | None:
     y = np.array(labels, np.float32)
     if len(set(labels)) < 2:
         return None
@@ -195,16 +209,17 @@ def fit(texts: list[str], labels: list[int], rounds: int = 3, epochs: int = 3, b
         if len(w):
             s = np.unique(np.concatenate([slot[bounds[x] : bounds[x + 1]] for x in w]))
             df[int(y[i]), s] += 1
-    odds = np.log((df[1] + 0.5) / ((y == 1).sum() + 1)) - np.log((df[0] + 0.5) / ((y == 0).sum() + 1))
-    odds = np.where(df.sum(0) < 3, 0, np.clip(odds, -4, 6)).astype(np.float32)
+    base = float(y.mean())
+    share = (df[1] + PRIOR * base) / (df.sum(0) + PRIOR)
+    odds = (np.log(share / (1 - share)) - np.log(base / (1 - base))).astype(np.float32)
     m = start()
-    m["ec"][:, 0] = odds / 4
-    suspicion = means(m["ec"][:, :1], slot, bounds)[:, 0]
+    suspicion = peaks(odds, slot, bounds)
     rng = np.random.default_rng(3)
     row, at, size = windows_of(rows)
     word = suspicion[inv]
     peak = np.array([word[a : a + s].max() for a, s in zip(at, size)])
     g2 = {k: np.full(np.shape(v), 1e-4, np.float32) for k, v in m.items()}
+    m["odds"] = odds
     own = np.r_[np.searchsorted(row, np.arange(n)), len(row)]
     clean = [np.arange(own[i], own[i + 1]) for i in range(n)]
     pick = np.array([c[peak[c].argmax()] if len(c) else -1 for c in clean])
@@ -233,7 +248,7 @@ def _learn(m, g2, keys, slot, bounds, inv, at, size, y, rate: float = 0.08):
     lens = np.diff(bounds)[used]
     edge = np.r_[0, np.cumsum(lens)]
     s = slot[np.repeat(bounds[used] - edge[:-1], lens) + np.arange(edge[-1])]
-    x = np.concatenate([m["ew"][(keys[used] >> U(64 - WORD_BITS)).astype(np.int64)], means(m["ec"], s, edge)], 1)
+    x = np.concatenate([m["ew"][(keys[used] >> U(64 - WORD_BITS)).astype(np.int64)], means(m["ec"], s, edge), peaks(m["odds"], s, edge)[:, None]], 1)
     px = (x @ m["wx"] + m["b"])[back]
     logit, *kept = forward(m, px, size, keep=True)
     g = ((_sigmoid(np.clip(logit, -30, 30)) - y) / len(y)).astype(np.float32)
@@ -246,7 +261,7 @@ def _learn(m, g2, keys, slot, bounds, inv, at, size, y, rate: float = 0.08):
     for k, v in grad.items():
         g2[k] += v * v
         m[k] = m[k] - rate * v / np.sqrt(g2[k])
-    for k, index, v in (("ew", (keys[used] >> U(64 - WORD_BITS)).astype(np.int64), gin[:, :D_WORD]), ("ec", s, np.repeat(gin[:, D_WORD:] / lens[:, None], lens, axis=0))):
+    for k, index, v in (("ew", (keys[used] >> U(64 - WORD_BITS)).astype(np.int64), gin[:, :D_WORD]), ("ec", s, np.repeat(gin[:, D_WORD:-1] / lens[:, None], lens, axis=0))):
         i, j = np.unique(index, return_inverse=True)
         total = np.zeros((len(i), v.shape[1]), np.float32)
         np.add.at(total, j, v)
