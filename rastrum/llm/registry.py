@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = {
+    "op1_ngram_jaccard": "ngram_jaccard",
     "op2_toxicity": "toxicity",
     "op9_language_id": "language_id",
     "op6_quality_rules": "quality_rules",
