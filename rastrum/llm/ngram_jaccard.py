@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .components import connected_components
-from .shared import bloom_of, cut, drop, in_bloom, table
+from .shared import bloom_of, cut, in_bloom, small_batches, table
 
 U = np.uint64
 #: Keys with more sets than this are compared in tiles of TILE sets.
@@ -267,6 +267,7 @@ def _tiles(rows: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame
 
 def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each document."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     light = cut(_light(docs, k), "light")
     spread = Window.partitionBy("key")

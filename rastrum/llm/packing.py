@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import table
+from .shared import small_batches, table
 
 LENGTH = 1024
 DIMS, DEPTH = 4, 10
@@ -97,7 +97,7 @@ def _encode(vocabulary: str, batch: pa.RecordBatch):
     column = K.text_column(batch).fill_null("")
     _, offs = K.utf8(column)
     doc = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U)
-    for lo, hi in K.slices(offs, 8 << 20):
+    for lo, hi in K.slices(offs):
         ids = [enc.encode_to_numpy(t, allowed_special="all").astype(np.uint32) for t in column.slice(lo, hi - lo).to_pylist()]
         yield lo, hi, ids, curve_keys(ids, K.mix(doc[lo:hi] * U(0xD1B54A32D192ED03) + U(1)))
 
@@ -105,6 +105,7 @@ def _encode(vocabulary: str, batch: pa.RecordBatch):
 def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
     """One row per piece: its place in its document and in its sequence."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def keys(batches):

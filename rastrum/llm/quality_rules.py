@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import sample_at_most, table
+from .shared import sample_at_most, small_batches, table
 
 BITS = 18
 TRAIN_ROWS = 2000
@@ -171,6 +171,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
 def quality_rules(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """One row per document with the base counts, the calibrated probability and the verdict."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(fit(*training_rows(docs, labels)))
 
     def judge(batches):
@@ -191,6 +192,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT)
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents (all their columns) that the rules keep."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(fit(*training_rows(docs, labels)))
 
     def judge(batches):

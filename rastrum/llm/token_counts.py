@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import bpe
 from . import kernels as K
-from .shared import table
+from .shared import small_batches, table
 
 MOST = 1024
 
@@ -24,6 +24,8 @@ MOST = 1024
 def count_tokens(docs: DataFrame, vocabulary: str, most: int = MOST) -> DataFrame:
     """One row per document: bytes, tokens, and whether there are more than `most`. vocabulary: a file that executors can open."""
 
+    small_batches(docs.sparkSession)
+
     def count(batches):
         machine = bpe.transducer(vocabulary)
         for batch in batches:

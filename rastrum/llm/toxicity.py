@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import id_remainder, sample_at_most, table
+from .shared import id_remainder, sample_at_most, small_batches, table
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, D_WORD, D_CHAR = 8, 4, 8
@@ -278,6 +278,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: score, prediction, and where its worst window begins (in words)."""
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(docs, labels)))
 
     def score(batches):
