@@ -7,6 +7,7 @@ import importlib
 _MODULES = {
     "op1_ngram_jaccard": "ngram_jaccard",
     "op3_html_text": "html_text",
+    "op4_substring_dedup": "substring_dedup",
     "op5_url_filters": "url_filters",
     "op2_toxicity": "toxicity",
     "op9_language_id": "language_id",
