@@ -224,7 +224,7 @@ def _tiles(rows: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame
     meet = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select("key", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "fp", "comp")
     full = meet.join(sets.select("fp", "set"), "fp").select("key", "i", "j", "tile", "fp", "comp", "set")
 
-    def links(key, t: pa.Table) -> pa.Table:
+    def links(key, t):
         i, j = key[1].as_py(), key[2].as_py()
         tile, fp, comp = (t.column(c).to_numpy() for c in ("tile", "fp", "comp"))
         s = [np.frombuffer(x.as_buffer(), U) for x in t.column("set").combine_chunks()]
