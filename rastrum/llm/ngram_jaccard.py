@@ -167,22 +167,22 @@ def _keys(docs: DataFrame, k: int, bands: tuple[int, int]) -> DataFrame:
     return docs.mapInArrow(run, "key long, fp long")
 
 
+#: One number for a set in a document, alike in Spark and numpy.
+_IN = "fp ^ shiftleft(doc_id, 17) ^ doc_id"
+
+
 def _sets(docs: DataFrame, k: int, bitmap) -> DataFrame:
-    """Sets and sketches of those that may be wanted."""
+    """Sets and sketches of those that may be wanted; the bitmap has each set with the first of its documents only."""
 
     def run(batches):
-        met = set()
         for batch in batches:
+            ids = batch.column(0).fill_null(0).to_numpy()
             out = [[], [], [], []]
-            for _, s in sets_of(K.text_column(batch), k):
-                name = print_of(s)
-                if name in met or not in_bloom(bitmap.value, np.array([name], np.int64).view(U))[0]:
-                    continue
-                if len(met) >= 1 << 20:
-                    met.clear()
-                met.add(name)
-                for column, v in zip(out, (name, len(s), sketch(s).tobytes(), s.tobytes())):
-                    column.append(v)
+            for i, s in sets_of(K.text_column(batch), k):
+                name = np.array([print_of(s)], np.int64)
+                if in_bloom(bitmap.value, (name ^ (ids[i : i + 1] << 17) ^ ids[i]).view(U))[0]:
+                    for column, v in zip(out, (int(name[0]), len(s), sketch(s).tobytes(), s.tobytes())):
+                        column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], names=["fp", "n", "sketch", "set"])
 
     return docs.mapInArrow(run, "fp long, n long, sketch binary, set binary")
@@ -273,8 +273,10 @@ def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
     spread = Window.partitionBy("key")
     keyed = _keys(docs.select("doc_id", "text"), k, (part, whole)).withColumns({"lo": F.min("fp").over(spread), "hi": F.max("fp").over(spread)}).where("lo < hi").select("key", "fp", "lo")
     keyed = cut(keyed.distinct(), "keys")
-    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(keyed, "fp"))
-    sets = cut(_sets(docs, k, bitmap).dropDuplicates(["fp"]), "sets")
+    reps = light.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    wanted = reps.join(keyed.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(wanted.select(F.expr(_IN).alias("x")), "x"))
+    sets = cut(_sets(docs, k, bitmap), "sets")
     # First round: every set with the smallest of its keys.
     first = cut(_linked(keyed.where("fp <> lo").select(F.col("lo").alias("a"), F.col("fp").alias("b")).distinct(), sets, part, whole), "links")
     comp = connected_components(first)
@@ -293,7 +295,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
         links = links.unionByName(_tiles(large, sets, part, whole))
     groups = connected_components(links)
     # Names of sets to the smallest document of each component.
-    classes = light.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")).join(groups.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    classes = reps.join(groups.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = classes.join(smallest, "component").select("fp", "component_id")
     out = light.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
