@@ -214,7 +214,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
             found = found.join(sets.select(F.col("fp").alias(side), *(F.col(c).alias(c + side) for c in columns)), side)
         return found.select("a", "b", *(c + side for c in columns for side in "ab"))
 
-    near = beside(pairs, "n", "sketch").mapInArrow(close, "a long, b long")
+    near = cut(beside(pairs, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
     return beside(near, "set").mapInArrow(exact, "a long, b long")
 
 

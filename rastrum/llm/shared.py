@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -42,11 +43,18 @@ def cut(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._rastrum_path = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of plans that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop(df: DataFrame) -> None:
     """Deletes what cut() wrote, once nothing reads it any more."""
     path = getattr(df, "_rastrum_path", None)
