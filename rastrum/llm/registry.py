@@ -9,6 +9,7 @@ _MODULES = {
     "op3_html_text": "html_text",
     "op4_substring_dedup": "substring_dedup",
     "op5_url_filters": "url_filters",
+    "op8_decontamination": "decontamination",
     "op2_toxicity": "toxicity",
     "op9_language_id": "language_id",
     "op6_quality_rules": "quality_rules",
