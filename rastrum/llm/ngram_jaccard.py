@@ -99,8 +99,8 @@ def keys_of(s: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """Parity words of a set for the Hamming bound: about 8 bits a shingle, of a power of two of words, so that two sketches fold to one size."""
-    n = 1 << max(0, (len(s) * 8 // 64 - 1)).bit_length()
+    """Parity words of a set for the Hamming bound: 2 to 4 bits a shingle, of a power of two of words, so that two sketches fold to one size."""
+    n = 1 << max(0, (len(s) * 2 // 64 - 1)).bit_length()
     b = (s >> U(6)) & U(64 * n - 1)
     return np.packbits((np.bincount(b.astype(np.int64), minlength=64 * n) & 1).astype(np.uint8), bitorder="little").view(U)
 
@@ -129,42 +129,28 @@ def print_of(s: np.ndarray) -> int:
     return int(K.mix(K.mix(np.bitwise_xor.reduce(s, keepdims=True)) + np.add.reduce(K.mix(s), keepdims=True) + U(len(s))).view(np.int64)[0])
 
 
-def _light(docs: DataFrame, k: int) -> DataFrame:
+def _light(docs: DataFrame, k: int, bands: tuple[int, int]) -> DataFrame:
+    """(doc_id, n, fp, keys): size, name and keys of each document's set; a set that a task has met before gives no keys again."""
+
     def run(batches):
+        own, met = Bands(*bands), set()
         for batch in batches:
             n, name = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            keys, at = [], np.zeros(batch.num_rows + 1, np.int64)
             for i, s in sets_of(K.text_column(batch), k):
                 n[i], name[i] = len(s), print_of(s)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(name, mask=n == 0)], names=["doc_id", "n", "fp"])
-
-    return docs.mapInArrow(run, "doc_id long, n long, fp long")
-
-
-def _keys(docs: DataFrame, k: int, bands: tuple[int, int]) -> DataFrame:
-    """(key, fp) of all sets; a set that a task has met before gives none again."""
-
-    def run(batches):
-        own, met = Bands(*bands), set()
-        for batch in batches:
-            keys, names, size = [], [], 0
-            for _, s in sets_of(K.text_column(batch), k):
-                name = print_of(s)
-                if name in met:
+                if int(name[i]) in met:
                     continue
                 if len(met) >= 1 << 20:
                     met.clear()
-                met.add(name)
-                x = keys_of(s, own)
-                keys.append(x)
-                names.append(np.full(len(x), name, np.int64))
-                size += len(x)
-                if size > 1 << 18:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "fp"])
-                    keys, names, size = [], [], 0
-            if size:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(names))], names=["key", "fp"])
+                met.add(int(name[i]))
+                keys.append(keys_of(s, own))
+                at[i + 1] = len(keys[-1])
+            flat = np.concatenate([*keys, np.zeros(0, U)]).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(at).astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(name, mask=n == 0), lists], names=["doc_id", "n", "fp", "keys"])
 
-    return docs.mapInArrow(run, "key long, fp long")
+    return docs.mapInArrow(run, "doc_id long, n long, fp long, keys array<long>")
 
 
 #: One number for a set in a document, alike in Spark and numpy.
@@ -215,6 +201,9 @@ def _linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
         return found.select("a", "b", *(c + side for c in columns for side in "ab"))
 
     near = cut(beside(pairs, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
+    # Only the sets of those that came near go through the join.
+    bitmap = sets.sparkSession.sparkContext.broadcast(bloom_of(near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))), "x"))
+    sets = sets.select("fp", "set").mapInArrow(lambda batches: (b.filter(pa.array(in_bloom(bitmap.value, b.column(0).to_numpy().view(U)))) for b in batches), "fp long, set binary")
     return beside(near, "set").mapInArrow(exact, "a long, b long")
 
 
@@ -269,10 +258,11 @@ def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
     """(doc_id, n_shingles, component_id) of each document."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    light = cut(_light(docs, k), "light")
+    every = cut(_light(docs, k, (part, whole)), "keys")
+    light = every.select("doc_id", "n", "fp")
     spread = Window.partitionBy("key")
-    keyed = _keys(docs.select("doc_id", "text"), k, (part, whole)).withColumns({"lo": F.min("fp").over(spread), "hi": F.max("fp").over(spread)}).where("lo < hi").select("key", "fp", "lo")
-    keyed = cut(keyed.distinct(), "keys")
+    keyed = every.select(F.explode("keys").alias("key"), "fp").withColumns({"lo": F.min("fp").over(spread), "hi": F.max("fp").over(spread)}).where("lo < hi").select("key", "fp", "lo")
+    keyed = cut(keyed.distinct(), "shared-keys")
     reps = light.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
     wanted = reps.join(keyed.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
     bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(wanted.select(F.expr(_IN).alias("x")), "x"))
