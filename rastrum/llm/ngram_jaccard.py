@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .components import connected_components
-from .shared import bloom_of, cut, in_bloom, small_batches, table
+from .shared import bloom_of, cut, drop, in_bloom, small_batches, table
 
 U = np.uint64
 #: Keys with more sets than this are compared in tiles of TILE sets.
@@ -157,25 +157,29 @@ def _light(docs: DataFrame, k: int, bands: tuple[int, int]) -> DataFrame:
 _IN = "fp ^ shiftleft(doc_id, 17) ^ doc_id"
 
 
-def _sets(docs: DataFrame, k: int, bitmap) -> DataFrame:
-    """Sets and sketches of those that may be wanted; the bitmap has each set with the first of its documents only."""
+def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, whole: bool) -> DataFrame:
+    """(fp, set) or, not whole, (fp, n, sketch) of the wanted sets (column fp), read anew from the first document of each: cheaper than carrying all sets through a shuffle. A bitmap of fixed size picks the documents; a few others may come along."""
+    picked = reps.join(wanted.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(picked.select(F.expr(_IN).alias("x")), "x"))
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
-            out = [[], [], [], []]
+            names, sizes, data = [], [], []
             for i, s in sets_of(K.text_column(batch), k):
                 name = np.array([print_of(s)], np.int64)
                 if in_bloom(bitmap.value, (name ^ (ids[i : i + 1] << 17) ^ ids[i]).view(U))[0]:
-                    for column, v in zip(out, (int(name[0]), len(s), sketch(s).tobytes(), s.tobytes())):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.binary())], names=["fp", "n", "sketch", "set"])
+                    names.append(int(name[0]))
+                    sizes.append(len(s))
+                    data.append((s if whole else sketch(s)).tobytes())
+            out = {"fp": pa.array(names, pa.int64()), "set": pa.array(data, pa.binary())} if whole else {"fp": pa.array(names, pa.int64()), "n": pa.array(sizes, pa.int64()), "sketch": pa.array(data, pa.binary())}
+            yield pa.RecordBatch.from_pydict(out)
 
-    return docs.mapInArrow(run, "fp long, n long, sketch binary, set binary")
+    return docs.mapInArrow(run, "fp long, set binary" if whole else "fp long, n long, sketch binary")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
-    """Of pairs (a, b), those that link: by sizes and the Hamming bound, then by the sets."""
+def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: int) -> DataFrame:
+    """Of pairs (a, b), those that link: by sizes and the Hamming bound, then by the sets (sets_for gives those of some names)."""
 
     def close(batches):
         for batch in batches:
@@ -195,16 +199,16 @@ def _linked(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
                 ok.append(whole * common >= part * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
-    def beside(found: DataFrame, *columns: str) -> DataFrame:
+    def beside(found: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
         for side in "ab":
-            found = found.join(sets.select(F.col("fp").alias(side), *(F.col(c).alias(c + side) for c in columns)), side)
+            found = found.join(table.select(F.col("fp").alias(side), *(F.col(c).alias(c + side) for c in columns)), side)
         return found.select("a", "b", *(c + side for c in columns for side in "ab"))
 
-    near = cut(beside(pairs, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
-    # Only the sets of those that came near go through the join.
-    bitmap = sets.sparkSession.sparkContext.broadcast(bloom_of(near.select(F.col("a").alias("x")).unionByName(near.select(F.col("b").alias("x"))), "x"))
-    sets = sets.select("fp", "set").mapInArrow(lambda batches: (b.filter(pa.array(in_bloom(bitmap.value, b.column(0).to_numpy().view(U)))) for b in batches), "fp long, set binary")
-    return beside(near, "set").mapInArrow(exact, "a long, b long")
+    near = cut(beside(pairs, sketches, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
+    sets = cut(sets_for(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp")))), "sets")
+    links = cut(beside(near, sets, "set").mapInArrow(exact, "a long, b long").distinct(), "links")
+    drop(sets)
+    return links
 
 
 def _tiles(rows: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
@@ -259,16 +263,16 @@ def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = cut(_light(docs, k, (part, whole)), "keys")
-    light = every.select("doc_id", "n", "fp")
+    light = cut(every.select("doc_id", "n", "fp"), "light")
     spread = Window.partitionBy("key")
     keyed = every.select(F.explode("keys").alias("key"), "fp").withColumns({"lo": F.min("fp").over(spread), "hi": F.max("fp").over(spread)}).where("lo < hi").select("key", "fp", "lo")
     keyed = cut(keyed.distinct(), "shared-keys")
+    drop(every)
     reps = light.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    wanted = reps.join(keyed.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(wanted.select(F.expr(_IN).alias("x")), "x"))
-    sets = cut(_sets(docs, k, bitmap), "sets")
+    sets_for = lambda wanted: _sets(docs, k, wanted, reps, True)
+    sketches = cut(_sets(docs, k, keyed, reps, False), "sketches")
     # First round: every set with the smallest of its keys.
-    first = cut(_linked(keyed.where("fp <> lo").select(F.col("lo").alias("a"), F.col("fp").alias("b")).distinct(), sets, part, whole), "links")
+    first = _linked(keyed.where("fp <> lo").select(F.col("lo").alias("a"), F.col("fp").alias("b")).distinct(), sketches, sets_for, part, whole)
     comp = connected_components(first)
     # Second round: keys whose sets are in several components.
     own = keyed.select("key", "fp").join(comp.select(F.col("id").alias("fp"), "component"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("comp"))
@@ -280,9 +284,9 @@ def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
         .join(small.select("key", F.col("fp").alias("b"), F.col("comp").alias("cb")), "key")
         .where("a < b and ca <> cb").select("a", "b").distinct()
     )
-    links = first.unionByName(_linked(pairs, sets, part, whole))
+    links = first.unionByName(_linked(pairs, sketches, sets_for, part, whole))
     if not large.isEmpty():
-        links = links.unionByName(_tiles(large, sets, part, whole))
+        links = links.unionByName(_tiles(large, cut(sets_for(large), "sets"), part, whole))
     groups = connected_components(links)
     # Names of sets to the smallest document of each component.
     classes = reps.join(groups.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
