@@ -436,8 +436,16 @@ def _codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.roundtrip(view(spark, sf_dir, "px"))
 
 
+def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rastrum.functions.bounds import wgs84_bounds
+
+    tiles = view(spark, sf_dir, "obs").select("crs", "x", "y").distinct()
+    w, s, e, n = G.Grid(10.0, 256).bounds(F.col("x") * 40 + 100, F.col("y") * 60 + 1500)
+    return wgs84_bounds(tiles.select("crs", "x", "y", w.alias("west"), s.alias("south"), e.alias("east"), n.alias("north")))
+
+
 def queries() -> dict:
-    return _QUERIES | {"tile_codec_roundtrip": _codec, "stream_upsert": upsert.query, "catalog_publish": store.publish_query}
+    return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec, "stream_upsert": upsert.query, "catalog_publish": store.publish_query}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -67,3 +67,19 @@ def test_merge_ignores_order(spark):
     one = sorted(map(tuple, R.merge(spark.createDataFrame(rows, "tile_id long, scene_id string, pos int, dn int"), -9999).collect()))
     two = sorted(map(tuple, R.merge(spark.createDataFrame(rows[::-1], "tile_id long, scene_id string, pos int, dn int"), -9999).collect()))
     assert one == two and [r[2] for r in one] != [-9999] * 9
+
+
+def test_projected_bounds(spark):
+    from rastrum.functions import bounds as B
+
+    # Ground inside a tile lies inside its bounds; the inverse undoes the forward series.
+    e, n = G.utm(F.col("lon"), F.col("lat"), F.lit(36))
+    points = spark.createDataFrame([(30.0 + i % 7, -60.0 + 5 * i) for i in range(28)], "lon double, lat double")
+    for r in points.select("lon", "lat", e.alias("e"), n.alias("n")).collect():
+        lon, lat = B.utm_inverse(r["e"], r["n"], 36, r["lat"] < 0)
+        assert abs(lon - r["lon"]) < 1e-7 and abs(lat - r["lat"]) < 1e-7
+    tiles = spark.createDataFrame([("EPSG:32660", 832000.0, 200000.0, 834560.0, 202560.0), ("sinusoidal", 0.0, 0.0, 222389.85, 222389.85), ("EPSG:9999", 0.0, 0.0, 1.0, 1.0), (None, 0.0, 0.0, 1.0, 1.0)], "crs string, west double, south double, east double, north double")
+    got = B.wgs84_bounds(tiles).collect()
+    assert got[0]["lon_w"] > 179 and got[0]["lon_e"] < got[0]["lon_w"]
+    assert abs(got[1]["lon_w"]) < 1e-9 and abs(got[1]["lon_e"] - 2.0012) < 1e-3 and abs(got[1]["lat_n"] - 2.0) < 1e-4
+    assert got[2]["lon_w"] is None and got[3]["lon_w"] is None
