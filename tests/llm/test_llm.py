@@ -224,6 +224,30 @@ def test_passages(spark, monkeypatch, small):
     assert left[0] == rows[0][1] and shared not in left[3] and left[3].startswith(passage(30, 103)) and left[42] == ""
 
 
+def test_runs_at_every_place():
+    import numpy as np
+
+    at = iter(range(10**6))
+    some = lambda n: [next(at) for _ in range(n)]
+    runs = lambda x, y: substring_dedup.all_runs(np.array(x, np.uint32), np.array(y, np.uint32), 46, 0.8)
+    line, one, two = some(30), some(96), some(70)
+    assert runs(some(100) + line + one, line + some(300) + line + one) == [(100, 126, 330, 126, 1.0)]
+    got = runs(some(100) + line + one + some(50) + two, line + some(300) + one + some(20) + two)
+    assert sorted(got) == [(130, 96, 330, 96, 1.0), (276, 70, 446, 70, 1.0)]
+    rng = np.random.default_rng(1)
+    fresh = lambda n: rng.integers(0, 2**32, n).astype(np.uint32)
+    for _ in range(60):
+        blocks = [fresh(rng.integers(5, 90)) for _ in range(6)]
+        x, y = (np.concatenate([blocks[rng.integers(6)] if rng.random() < 0.5 else fresh(rng.integers(5, 60)) for _ in range(rng.integers(3, 14))]) for _ in range(2))
+        found = substring_dedup.all_runs(x, y, 46, 0.8)
+        for first, n, there, m, s in found:
+            a, b = set(x[first : first + n].tolist()), set(y[there : there + m].tolist())
+            assert n >= 46 and s >= 0.8 and abs(len(a & b) / len(a | b) - s) < 1e-9
+        covered = {i for f in found for i in range(f[0], f[0] + f[1])}
+        have = {y[j : j + 46].tobytes() for j in range(len(y) - 45)}
+        assert all(set(range(i, i + 46)) <= covered for i in range(len(x) - 45) if x[i : i + 46].tobytes() in have)
+
+
 def test_decontamination(spark):
     item = passage(20, 1)
     near = item.split()
