@@ -248,6 +248,32 @@ def test_runs_at_every_place():
         assert all(set(range(i, i + 46)) <= covered for i in range(len(x) - 45) if x[i : i + 46].tobytes() in have)
 
 
+def tiled(spark, texts):
+    """What _tiles finds among whole texts as windows of one key: the covered places of each document."""
+    import numpy as np
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (_, _, sh, _, bounds), = substring_dedup.shingled(batch.column(0), 5)
+    names = [(sh[a:b] >> np.uint64(32)).astype(np.uint32) for a, b in zip(bounds, bounds[1:])]
+    seqs = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(names)], "doc long, seq binary")
+    rows = spark.createDataFrame([(1, i, 0, len(v) - 1, False) for i, v in enumerate(names)], "key long, doc long, l int, r int, met boolean")
+    got = {}
+    for r in substring_dedup._tiles(rows, seqs, 46, 0.8).collect():
+        got.setdefault(r["doc"], set()).update(range(r["first"], r["first"] + r["n"]))
+    return got
+
+
+def test_tiles_go_on(spark):
+    shared, sentence = passage(90, 11).split(), passage(20, 12)
+    long = " ".join(shared)
+    got = tiled(spark, [f"{passage(60, 13)} {' '.join(shared[:55])} {passage(20, 14)}", f"{long} {passage(60, 15)}", f"{passage(30, 16)} {long} {passage(40, 17)}"])
+    assert set(range(30, 116)) <= got[2]
+    # One sentence three times has few distinct shingles, but as many places as another passage.
+    got = tiled(spark, [f"{passage(70, 21)} {sentence} {sentence} {sentence}", f"{sentence} {sentence} {sentence} {passage(70, 22)}"])
+    assert set(range(56)) <= got[1]
+
+
 def test_decontamination(spark):
     item = passage(20, 1)
     near = item.split()
