@@ -274,6 +274,48 @@ def test_tiles_go_on(spark):
     assert set(range(56)) <= got[1]
 
 
+def covered_words(spark, rows):
+    """Covered places of each document under one hash function, so that each passage of 50 words has one key."""
+    got = {}
+    for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string"), functions=1).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["first_word"] + r["n_words"]))
+    return got
+
+
+def key_place(text):
+    import pyarrow as pa
+
+    ((_, _, sh, *_),) = substring_dedup.shingled(pa.array([text]), 5)
+    return int(substring_dedup._function(sh, 0).argmin())
+
+
+def test_large_keys_lose_no_partner(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SMALL", 2)
+    hot, shared = passage(60, 31), passage(50, 33)
+    c = key_place(shared)
+    line = " ".join(shared.split()[c : c + 5])
+    # Document 0 has the line at which 3 and 4 share a passage, and another passage of both.
+    around = next(t for t in (f"{passage(30, 1000 + i)} {line} {passage(30, 2000 + i)}" for i in range(2000)) if key_place(t) == 30)
+    rows = [(0, f"{hot} {around}"), *((i, f"{hot} {passage(60, 50 + i)} {shared} {passage(50, 60 + i)}") for i in (3, 4))]
+    got = covered_words(spark, rows)
+    assert set(range(60)) <= got[3] and not got[3] & set(range(121, 169))
+    assert set(range(60)) | set(range(120, 170)) <= got[4]
+
+
+def test_chains_of_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SMALL", 2)
+    # One word differs from one to the next: 0.86 similar, and 0.74 over one between.
+    for i in range(2000):
+        base = passage(70, 3000 + i).split()
+        second = [*base[:25], "y", *base[26:]]
+        third = [*second[:45], "z", *second[46:]]
+        texts = [" ".join(t) for t in (base, second, third)]
+        if {key_place(t) for t in texts} <= set(range(26, 41)) and len({key_place(t) for t in texts}) == 1:
+            break
+    got = covered_words(spark, list(enumerate(texts)))
+    assert set(range(70)) <= got[1] and set(range(70)) <= got[2]
+
+
 def test_decontamination(spark):
     item = passage(20, 1)
     near = item.split()
