@@ -52,7 +52,7 @@ def matched(host: Column, path: Column, rules) -> tuple[Column, Column]:
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(src, dst) of canonical links and refreshes, as urls; a target that begins with / is on the page's own host, other relative ones are passed over."""
     html = F.col("html")
-    links = pages.where(html.contains("anonical") | html.contains("ANONICAL") | html.rlike("(?i)http-equiv")).select(
+    links = pages.where(html.rlike("(?i)canonical|http-equiv")).select(
         F.col("url").alias("src"),
         F.explode(F.concat(
             F.transform(F.regexp_extract_all(html, F.lit(_CANONICAL), 0), lambda t: F.regexp_extract(t, _HREF, 1)),

@@ -199,6 +199,11 @@ def test_url_aliases(spark):
     assert got == {1: ("a.org", None, "block"), 2: ("b.net", "net/fr/", "block"), 3: ("c.org", None, "block"), 4: ("", None, "allow"), 5: ("", None, "allow"), 6: ("d.org", None, "allow"), 7: ("d.org", None, "allow")}
 
 
+def test_url_alias_in_mixed_case(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/x", '<link rel=CaNoNiCaL href="http://b.net/fr/z">')], "page_id long, url string, html string")
+    assert [r["verdict"] for r in url_filters.url_filters(pages).collect()] == ["block"]
+
+
 def passage(n, seed):
     import random
 
