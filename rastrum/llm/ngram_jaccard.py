@@ -7,14 +7,15 @@ D = floor(2 T (1 - j) / (1 + j)) shingles at most. Each set is dealt by hash
 into B = D + 1 + S blocks; a block's sketch has one parity bit for each of 64
 hash values, and a shingle flips one bit of one block. So the Hamming distance
 of two sketches is at most the number of shingles in which the sets differ, and
-at least S + 1 blocks of linked sets are equal (pigeonhole). Blocks with very
-few shingles say little and are left out, where a set has S such at most; a set
-with more keeps them all. Two linked sets then always share a key, because at
-most S of their equal blocks are left out by either.
-
-Sets that share a key are compared in two rounds. First each with the key's
-smallest set, so that a group of near copies becomes one component by linearly
-many pairs. Then the pairs that are not in one component yet: small keys by a
+at least S + 1 blocks of linked sets are equal (pigeonhole): they share S + 1
+keys. Each set leaves out the S of its keys that most sets have (blocks of
+shingles found everywhere). Two linked sets still share a key: the rarest that
+both have is left out by neither.
+
+Sets that share a key are compared in rounds. In the first STARS rounds a set
+is compared with one other at most, the smallest of most of its keys, so that a
+group of near copies becomes few components by linearly many pairs. Then come
+the pairs that share a key and are not in one component yet: small keys by a
 join; large keys in tiles, with exact intersections in the tile. Candidates
 pass the Hamming bound of their sketches, then an exact check of their sets.
 Components of all links are the result. Nothing is capped or dropped.
@@ -35,13 +36,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from . import meeting
 from .components import connected_components
 from .shared import bloom_of, cut, drop, in_bloom, small_batches, table
 
 U = np.uint64
 #: Keys with more sets than this are compared in tiles of TILE sets.
-LARGE, TILE = 64, 256
+LARGE, TILE = 64, 512
 GROWTH = 1.5
+#: Slack of a band, as a share of the shingles that may differ; bits of a key that name its band.
+SLACK, BAND_BITS = 0.1, 6
+#: Rounds in which a set is compared with one other only.
+STARS = 2
 
 
 class Bands:
@@ -62,14 +68,14 @@ class Bands:
         return [k] + [k + 1] * (self.whole * n >= self.part * self.edges[k + 1])
 
     @functools.cache
-    def shape(self, k: int) -> tuple[int, int, int]:
-        """Most differing shingles, slack, and the fewest shingles of a block that counts."""
+    def shape(self, k: int) -> tuple[int, int]:
+        """Most differing shingles, and slack."""
         self._grow(1)
         while len(self.edges) < k + 2:
             self._grow(self.edges[-1])
         top = self.edges[k + 1] - 1
         d = 2 * top * (self.whole - self.part) // (self.whole + self.part)
-        return d, 1 + math.ceil(0.04 * d), 1 if d < 8 else 2
+        return d, 1 + math.ceil(SLACK * d)
 
 
 def blocks(s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,19 +91,28 @@ def blocks(s: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def keys_of(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of a set: one for each block that counts, in each of its bands."""
+    """Keys of a set: one for each block in each of its bands; the last BAND_BITS bits name the band."""
     out = []
     for k in bands.of(len(s)):
-        d, slack, least = bands.shape(k)
+        d, slack = bands.shape(k)
         if d == 0:
             continue  # only equal sets link
         word, count, xor = blocks(s, d + 1 + slack)
-        few = count < least
-        at = np.arange(len(word)) if few.sum() > slack else np.flatnonzero(~few)
-        out.append(K.mix(word[at] ^ K.mix(xor[at] + (at.astype(U) << U(20)) + (U(k) << U(52)) + count[at].astype(U))))
+        at = np.arange(len(word), dtype=U)
+        key = K.mix(word ^ K.mix(xor + (at << U(20)) + (U(k) << U(52)) + count.astype(U)))
+        out.append(key >> U(BAND_BITS) << U(BAND_BITS) | U(k))
     return np.concatenate(out) if out else np.zeros(0, U)
 
 
+def _thinned(keyed: DataFrame, bands: Bands) -> DataFrame:
+    """(key, fp) without the slack keys of each set and band that most sets have (ties: by key). The rarest key that two linked sets share stays in both: they share slack + 1 at least, so slack of them come before it in either."""
+    slack = F.array(*(F.lit(bands.shape(k)[1]) for k in range(1 << BAND_BITS)))
+    sized = keyed.join(keyed.groupBy("key").agg(F.count("*").alias("m")), "key").withColumn("band", F.col("key").bitwiseAND(F.lit((1 << BAND_BITS) - 1)).cast("int"))
+    rank = F.row_number().over(Window.partitionBy("fp", "band").orderBy(F.desc("m"), "key"))
+    kept = sized.withColumn("rank", rank).where(F.col("rank") > F.get(slack, "band")).select("key", "fp")
+    return kept
+
+
 def sketch(s: np.ndarray) -> np.ndarray:
     """Parity words of a set for the Hamming bound: 2 to 4 bits a shingle, of a power of two of words, so that two sketches fold to one size."""
     n = 1 << max(0, (len(s) * 2 // 64 - 1)).bit_length()
@@ -129,53 +144,66 @@ def print_of(s: np.ndarray) -> int:
     return int(K.mix(K.mix(np.bitwise_xor.reduce(s, keepdims=True)) + np.add.reduce(K.mix(s), keepdims=True) + U(len(s))).view(np.int64)[0])
 
 
-def _light(docs: DataFrame, k: int, bands: tuple[int, int]) -> DataFrame:
-    """(doc_id, n, fp, keys): size, name and keys of each document's set; a set that a task has met before gives no keys again."""
+def _mapped(docs: DataFrame, k: int, bands: tuple[int, int], parts: int) -> DataFrame:
+    """For each document a row (part OTHER) with its id in a chunk and the size, name and sketch of its set; beside them the chunks' packed keys. A set that a task has met before gives no keys again."""
 
     def run(batches):
-        own, met = Bands(*bands), set()
+        own, met, chunk = Bands(*bands), set(), meeting.Chunk(parts)
+
+        def closed():
+            rows = chunk.close()
+            none = lambda kind: pa.nulls(len(rows), kind)
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), *(none(pa.int64()) for _ in range(5)), none(pa.binary())], names=names)
+
+        names = ["part", "chunk", "data", "doc_id", "h", "n", "fp", "id", "sketch"]
         for batch in batches:
-            n, name = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-            keys, at = [], np.zeros(batch.num_rows + 1, np.int64)
+            m = batch.num_rows
+            n, name, at, sketches = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64), [None] * m
             for i, s in sets_of(K.text_column(batch), k):
                 n[i], name[i] = len(s), print_of(s)
+                number = chunk.owner()
+                at[i] = chunk.id | number
                 if int(name[i]) in met:
                     continue
                 if len(met) >= 1 << 20:
                     met.clear()
                 met.add(int(name[i]))
-                keys.append(keys_of(s, own))
-                at[i + 1] = len(keys[-1])
-            flat = np.concatenate([*keys, np.zeros(0, U)]).view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(at).astype(np.int32)), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(name, mask=n == 0), lists], names=["doc_id", "n", "fp", "keys"])
+                sketches[i] = sketch(s).tobytes()
+                chunk.add(np.unique(keys_of(s, own)), number)
+            none = n == 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, meeting.OTHER, np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), batch.column(0), batch.column(2), pa.array(n), pa.array(name, mask=none), pa.array(at, mask=none), pa.array(sketches, pa.binary())], names=names)
+            if chunk.full():
+                yield closed()
+        yield closed()
 
-    return docs.mapInArrow(run, "doc_id long, n long, fp long, keys array<long>")
+    return docs.mapInArrow(run, "part int, chunk long, data binary, doc_id long, h long, n long, fp long, id long, sketch binary")
 
 
 #: One number for a set in a document, alike in Spark and numpy.
 _IN = "fp ^ shiftleft(doc_id, 17) ^ doc_id"
 
 
-def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, whole: bool) -> DataFrame:
-    """(fp, set) or, not whole, (fp, n, sketch) of the wanted sets (column fp), read anew from the first document of each: cheaper than carrying all sets through a shuffle. A bitmap of fixed size picks the documents; a few others may come along."""
+def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, rows: int) -> DataFrame:
+    """(fp, set) of the wanted sets (column fp), read anew from the first document of each: cheaper than carrying all sets through a shuffle. A bitmap picks the documents; a few others may come along. Repeated rows of that document give their set once."""
     picked = reps.join(wanted.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(picked.select(F.expr(_IN).alias("x")), "x"))
+    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(picked.select(F.expr(_IN).alias("x")), "x", rows))
 
     def run(batches):
+        met = set()
         for batch in batches:
             ids = batch.column(0).fill_null(0).to_numpy()
-            names, sizes, data = [], [], []
+            names, data = [], []
             for i, s in sets_of(K.text_column(batch), k):
                 name = np.array([print_of(s)], np.int64)
-                if in_bloom(bitmap.value, (name ^ (ids[i : i + 1] << 17) ^ ids[i]).view(U))[0]:
+                if in_bloom(bitmap.value, (name ^ (ids[i : i + 1] << 17) ^ ids[i]).view(U))[0] and int(name[0]) not in met:
+                    met.add(int(name[0]))
+                    if len(met) > 1 << 20:
+                        met.clear()
                     names.append(int(name[0]))
-                    sizes.append(len(s))
-                    data.append((s if whole else sketch(s)).tobytes())
-            out = {"fp": pa.array(names, pa.int64()), "set": pa.array(data, pa.binary())} if whole else {"fp": pa.array(names, pa.int64()), "n": pa.array(sizes, pa.int64()), "sketch": pa.array(data, pa.binary())}
-            yield pa.RecordBatch.from_pydict(out)
+                    data.append(s.tobytes())
+            yield pa.RecordBatch.from_pydict({"fp": pa.array(names, pa.int64()), "set": pa.array(data, pa.binary())})
 
-    return docs.mapInArrow(run, "fp long, set binary" if whole else "fp long, n long, sketch binary")
+    return docs.mapInArrow(run, "fp long, set binary").dropDuplicates(["fp"])
 
 
 def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: int) -> DataFrame:
@@ -200,14 +228,14 @@ def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: i
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     def beside(found: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
-        for side in "ab":
+        for side in "ba":
             found = found.join(table.select(F.col("fp").alias(side), *(F.col(c).alias(c + side) for c in columns)), side)
         return found.select("a", "b", *(c + side for c in columns for side in "ab"))
 
     near = cut(beside(pairs, sketches, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
     sets = cut(sets_for(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp")))), "sets")
-    links = cut(beside(near, sets, "set").mapInArrow(exact, "a long, b long").distinct(), "links")
-    drop(sets)
+    links = cut(beside(near, sets, "set").mapInArrow(exact, "a long, b long"), "links")
+    drop(sets, near)
     return links
 
 
@@ -258,49 +286,82 @@ def _tiles(rows: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame
     return full.groupBy("key", "i", "j").applyInArrow(links, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each document."""
+def _star_pairs(keyed: DataFrame, comp: DataFrame | None, tried: DataFrame | None) -> DataFrame:
+    """One pair (a, b) for each set b that has a key in which another component is the smallest: with the first set a of that component in most of its keys. comp: (id, component) of linked sets."""
+    own = _components_of(keyed, comp)
+    low = own.groupBy("key").agg(F.min(F.struct("comp", "fp")).alias("low"), F.max("comp").alias("high")).where("low.comp < high").select("key", F.col("low.fp").alias("a"), F.col("low.comp").alias("c"))
+    met = own.join(low, "key").where("comp <> c").select("a", F.col("fp").alias("b"))
+    if tried is not None:
+        met = met.join(tried, ["a", "b"], "left_anti")
+    counts = met.groupBy("b", "a").agg(F.count("*").alias("m"))
+    return counts.groupBy("b").agg(F.max(F.struct("m", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
+
+
+def _components_of(keyed: DataFrame, comp: DataFrame | None) -> DataFrame:
+    if comp is None:
+        return keyed.withColumn("comp", F.col("fp"))
+    return keyed.join(comp.select(F.col("id").alias("fp"), "component"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("comp"))
+
+
+def components_of_rows(docs: DataFrame, k: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
+    """(doc_id, h, n, fp, component) of each row; h: hash of its text, fp: name of its set, component: the smallest name that its set is linked with, null without words."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = cut(_light(docs, k, (part, whole)), "keys")
-    light = cut(every.select("doc_id", "n", "fp"), "light")
-    spread = Window.partitionBy("key")
-    keyed = every.select(F.explode("keys").alias("key"), "fp").withColumns({"lo": F.min("fp").over(spread), "hi": F.max("fp").over(spread)}).where("lo < hi").select("key", "fp", "lo")
-    keyed = cut(keyed.distinct(), "shared-keys")
-    drop(every)
-    reps = light.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    sets_for = lambda wanted: _sets(docs, k, wanted, reps, True)
-    sketches = cut(_sets(docs, k, keyed, reps, False), "sketches")
-    # First round: every set with the smallest of its keys.
-    first = _linked(keyed.where("fp <> lo").select(F.col("lo").alias("a"), F.col("fp").alias("b")).distinct(), sketches, sets_for, part, whole)
-    comp = connected_components(first)
-    # Second round: keys whose sets are in several components.
-    own = keyed.select("key", "fp").join(comp.select(F.col("id").alias("fp"), "component"), "fp", "left").select("key", "fp", F.coalesce("component", "fp").alias("comp"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    mapped = cut(_mapped(docs, k, (part, whole), meeting.parts_for(docs)), "mapped")
+    light = mapped.where(F.col("part") == meeting.OTHER)
+    named = light.where("fp is not null")
+    total = light.count()
+    shared = meeting.shared_keys(mapped).join(named.select("id", "fp"), "id").select("key", "fp").distinct()
+    every = cut(shared, "shared-keys")
+    thin = cut(_thinned(every, Bands(part, whole)), "thin-keys")
+    several = thin.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    keyed = cut(thin.join(several, "key"), "keys")
+    drop(every, thin)
+    reps = cut(named.groupBy("fp").agg(F.min("doc_id").alias("rep")), "names")
+    sketches = cut(named.where("sketch is not null").join(keyed.select("fp").distinct(), "fp", "left_semi").select("fp", "n", "sketch").dropDuplicates(["fp"]), "sketches")
+    sets_for = lambda wanted: _sets(docs, k, wanted, reps, total)
+    links, tried, comp, used = None, None, None, []
+    for _ in range(STARS):
+        pairs = cut(_star_pairs(keyed, comp, tried), "pairs")
+        new = _linked(pairs, sketches, sets_for, part, whole)
+        used += [pairs, new]
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        comp = connected_components(links)
+    # Keys whose sets are in several components still.
+    own = _components_of(keyed, comp)
     sizes = own.groupBy("key").agg(F.count("*").alias("size"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key", "size")
     rest = cut(own.join(sizes, "key").select("key", "fp", "comp", "size"), "rest")
     small, large = rest.where(F.col("size") <= LARGE), rest.where(F.col("size") > LARGE)
     pairs = (
         small.select("key", F.col("fp").alias("a"), F.col("comp").alias("ca"))
         .join(small.select("key", F.col("fp").alias("b"), F.col("comp").alias("cb")), "key")
-        .where("a < b and ca <> cb").select("a", "b").distinct()
+        .where("a < b and ca <> cb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
     )
-    links = first.unionByName(_linked(pairs, sketches, sets_for, part, whole))
+    links = links.unionByName(_linked(pairs, sketches, sets_for, part, whole))
     if not large.isEmpty():
         links = links.unionByName(_tiles(large, cut(sets_for(large), "sets"), part, whole))
+    links = cut(links, "links")
+    drop(keyed, rest, sketches, *used)
     groups = connected_components(links)
-    # Names of sets to the smallest document of each component.
-    classes = reps.join(groups.select(F.col("id").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    smallest = classes.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = classes.join(smallest, "component").select("fp", "component_id")
-    out = light.join(named, "fp", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    return out
+    drop(links)
+    return light.select("doc_id", "h", "n", "fp").join(groups.select(F.col("id").alias("fp"), "component"), "fp", "left").select("doc_id", "h", "n", "fp", F.coalesce("component", "fp").alias("component"))
+
+
+def jaccard_components(docs: DataFrame, k: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each document."""
+    rows = cut(components_of_rows(docs, k, part, whole), "components")
+    smallest = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """The documents (all columns), one of each component: that with the smallest id (of rows with one id, all)."""
-    found = jaccard_components(docs, k, part, whole)
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The documents (all columns), one of each component: that with the smallest id, of several texts with that id the one whose hash is smallest; null ids come last. A row repeated with id and text is one document, all of whose rows stay or go."""
+    rows = cut(components_of_rows(docs, k, part, whole).select(F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("id"), "h", "component").where("component is not null"), "components")
+    first = rows.groupBy("component").agg(F.min(F.struct("id", "h")).alias("first"))
+    gone = rows.join(first, "component").where("id <> first.id or h <> first.h").select("id", "h").distinct()
+    own = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("id"), F.xxhash64("text").alias("h"))
+    return own.join(gone, ["id", "h"], "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Operator 6, quality rules.
 
 Fixed counting rules and a logistic regression over hashed word and character
-n-grams. It is trained on labelled rows (at most TRAIN_ROWS of each label, the
-documented bound), calibrated by Platt's method on rows left out of the fit,
-and scored in Arrow batches against fixed thresholds.
+n-grams. It is trained in one task on labelled rows (at most TRAIN_ROWS distinct
+texts of each label, none longer than TRAIN_CHARS: the documented bound),
+calibrated by Platt's method on rows left out of the fit, and scored in Arrow
+batches against fixed thresholds. Ids may be null, which teach nothing.
 
 Null and empty texts have no word: they fail the base rule, their n-gram score
 is that of the bias alone, and they are not kept. A table without usable labels
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import sample_at_most, small_batches, table
+from .shared import fitted, labelled, loaded, small_batches, table, teaching_rows
 
 BITS = 18
-TRAIN_ROWS = 2000
+#: Teaching texts of each label at most, and characters of the longest one.
+TRAIN_ROWS, TRAIN_CHARS = 2000, 200_000
 #: A document is kept where its calibrated probability of good quality reaches this.
 KEEP_AT = 0.5
 MIN_WORDS, REPEAT_SHARE = 10, 20
@@ -84,13 +86,13 @@ def base_counts(buf: np.ndarray, offs: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def ngram_slots(buf: np.ndarray, offs: np.ndarray, word: np.ndarray, row: np.ndarray):
-    """Hashed slots of characters (3 and 5 bytes) and words (1 and 2), with their rows."""
-    owner = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
-    b = buf.astype(U)
+    """Hashed slots of 3 and 5 characters and of 1 and 2 words, with their rows."""
+    owner = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))[_LEAD[buf]]
+    b = np.frombuffer(buf.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(U)
     for k, salt in ((3, 3), (5, 5)):
         v = np.zeros(max(0, len(b) - k + 1), U)
         for j in range(k if len(v) else 0):
-            v = v * U(257) + b[j : len(b) - k + 1 + j]
+            v = v * U(0x100000001B3) + b[j : len(b) - k + 1 + j]
         ok = owner[: len(v)] == owner[k - 1 :]
         yield (((v[ok] * U(0x9E3779B97F4A7C15 + 2 * salt)) >> U(64 - BITS)).astype(np.int64)), owner[: len(v)][ok]
     yield (word & _MASK).astype(np.int64), row
@@ -161,49 +163,47 @@ def scores(model: dict, buf: np.ndarray, offs: np.ndarray, word: np.ndarray, row
     return 1 / (1 + np.exp(-np.clip(model["a"] * z + model["c"], -30, 30)))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
-    """Texts and labels, at most `most` of each label; rows without either are left out."""
-    rows = sample_at_most(labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("y")), "y", most)
-    got = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(rows.dropDuplicates(["doc_id"])), "doc_id").orderBy("doc_id", "text").collect()
-    return [r["text"] for r in got], [r["y"] for r in got]
+def learned(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
+    """The broadcast model of the labelled documents."""
+    y = labels.where(F.col("quality").isin(0, 1)).select("doc_id", F.col("quality").cast("int").alias("y"))
+    return fitted(teaching_rows(labelled(docs, y, most), most, TRAIN_CHARS), fit, "quality-model")
+
+
+def judged(model: dict, buf: np.ndarray, offs: np.ndarray, keep_at: float):
+    """Counts, base verdict, probability and verdict of each row of a slice."""
+    c = base_counts(buf, offs)
+    failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_SHARE * c["n_words"])
+    q = scores(model, buf, offs, c["word"], c["row"])
+    return c, failed, q, ~failed & (q >= keep_at)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """One row per document with the base counts, the calibrated probability and the verdict."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    model = spark.sparkContext.broadcast(fit(*training_rows(docs, labels)))
+    small_batches(docs.sparkSession)
+    model = learned(docs, labels)
 
     def judge(batches):
         for batch in batches:
             buf, offs = K.utf8(K.text_column(batch))
             ids = batch.column(0)
             for lo, hi in K.slices(offs):
-                part, po = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
-                c = base_counts(part, po)
-                failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_SHARE * c["n_words"])
-                q = scores(model.value, part, po, c["word"], c["row"])
+                c, failed, q, kept = judged(loaded(model), buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], keep_at)
                 names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *(pa.array(c[k], pa.int64()) for k in names), pa.array(failed), pa.array(q), pa.array(~failed & (q >= keep_at))], names=["doc_id", *names, "base_failed", "quality", "kept"])
+                yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *(pa.array(c[k], pa.int64()) for k in names), pa.array(failed), pa.array(q), pa.array(kept)], names=["doc_id", *names, "base_failed", "quality", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(judge, SCHEMA)
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
     """The documents (all their columns) that the rules keep."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    model = spark.sparkContext.broadcast(fit(*training_rows(docs, labels)))
+    small_batches(docs.sparkSession)
+    model = learned(docs, labels)
 
     def judge(batches):
         for batch in batches:
             buf, offs = K.utf8(K.text_column(batch))
             for lo, hi in K.slices(offs):
-                part, po = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
-                c = base_counts(part, po)
-                failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > REPEAT_SHARE * c["n_words"])
-                kept = ~failed & (scores(model.value, part, po, c["word"], c["row"]) >= KEEP_AT)
-                yield batch.slice(lo, hi - lo).filter(pa.array(kept))
+                yield batch.slice(lo, hi - lo).filter(pa.array(judged(loaded(model), buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], keep_at)[3]))
 
     return docs.mapInArrow(judge, docs.schema)
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import os
+import pickle
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -55,10 +58,12 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def drop(df: DataFrame) -> None:
+def drop(*frames: DataFrame) -> None:
     """Deletes what cut() wrote, once nothing reads it any more."""
-    path = getattr(df, "_rastrum_path", None)
-    if path:
+    for df in frames:
+        path = getattr(df, "_rastrum_path", None)
+        if not path:
+            continue
         spark = df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
@@ -69,25 +74,61 @@ def id_remainder(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
-def sample_at_most(df: DataFrame, by: str, most: int, key: str = "doc_id", n: int | None = None) -> DataFrame:
-    """About `most` rows at most of each value of `by`, chosen by a hash of the key: the same rows each time, spread over the table."""
-    counts = {r[0]: r[1] for r in df.groupBy(by).count().collect()}
-    keep = F.lit(False)
-    for value, count in counts.items():
-        share = min(1.0, most / max(count, 1))
-        keep = keep | (F.col(by).eqNullSafe(F.lit(value)) & (F.pmod(F.xxhash64(F.col(key), F.lit(77)), F.lit(1 << 20)) < int(share * (1 << 20))))
-    return df.where(keep)
+def teaching_rows(rows: DataFrame, most: int, max_chars: int) -> DataFrame:
+    """(text, y) rows for a fit: of each y at most `most` distinct texts of max_chars characters at most, those with the smallest hashes; so the same rows each time, however often a row is repeated. Nothing reaches the driver."""
+    narrow = rows.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("y", F.xxhash64("text").alias("h")).distinct()
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("h", F.lit(77)), "h"))
+    chosen = narrow.withColumn("rank", rank).where(F.col("rank") <= most).select("y", "h")
+    return rows.where(F.length("text") <= max_chars).withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["y", "h"]).select("text", "y").dropDuplicates(["y", "text"])
 
 
-def bloom_of(ids: DataFrame, column: str, bits: int = 24):
-    """A bitmap of 2^bits bits over the hashes in a column (64-bit): of fixed size, whatever the input, so it may be sent to all executors. It lets through all that is in the column, and some that isn't."""
+def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """(text, y) of labelled documents. labels: doc_id, y; an id with both labels teaches nothing. Of each label at most 4 * `most` ids, those with the smallest hashes, so this side is small."""
+    one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("doc_id", "y")
+    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", F.lit(77)), "doc_id"))
+    chosen = one.withColumn("rank", rank).where(F.col("rank") <= 4 * most).select("doc_id", "y")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "y")
+
+
+def fitted(rows: DataFrame, fit, what: str):
+    """fit(texts, labels) of all rows in one task, which a lost executor only delays; the rows are bounded by their makers. The model's bytes go through the shared folder and are broadcast."""
+    spark = rows.sparkSession
+
+    def run(batches):
+        found = sorted(((r["y"], r["text"]) for b in batches for r in b.to_pylist()), key=lambda r: (str(r[0]), r[1]))
+        model = pickle.dumps(fit([t for _, t in found], [y for y, _ in found]))
+        for lo in range(0, len(model), 1 << 20):
+            yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([model[lo : lo + (1 << 20)]], pa.binary())], names=["at", "data"])
+
+    made = cut(rows.select("text", "y").coalesce(1).mapInArrow(run, "at long, data binary"), what)
+    data = b"".join(r["data"] for r in sorted(made.collect(), key=lambda r: r["at"]))
+    drop(made)
+    return spark.sparkContext.broadcast(data or pickle.dumps(fit([], [])))
+
+
+@functools.lru_cache(maxsize=4)
+def _loaded(data: bytes):
+    return pickle.loads(data)
+
+
+def loaded(model):
+    """The model in a broadcast of fitted(), unpacked once in a worker."""
+    return _loaded(model.value)
+
+
+#: Bits of a bitmap, as a power of two: at least, at most.
+FEWEST_BITS, MOST_BITS = 20, 26
+
+
+def bloom_of(ids: DataFrame, column: str, rows: int):
+    """A bitmap over the hashes in a column (64-bit) of so many rows at most, with 8 bits for each as far as MOST_BITS (8 MB) allow, so it may be sent to all executors. It lets through all that is in the column, and some that isn't; callers tell those apart by a join."""
     import numpy as np
 
+    bits = min(MOST_BITS, max(FEWEST_BITS, (8 * rows).bit_length()))
     at = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
-    rows = ids.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("b")).collect()
+    found = ids.groupBy(F.shiftright(at, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({column} & 63 as int))")).alias("b")).toArrow()
     out = np.zeros(1 << (bits - 6), np.int64)
-    for w, b in rows:
-        out[w] = b
+    out[found.column("w").to_numpy()] = found.column("b").to_numpy()
     return out.view(np.uint64)
 
 

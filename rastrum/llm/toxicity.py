@@ -4,13 +4,15 @@ A bidirectional gated recurrent network over words, with attention pooling.
 A word enters as the embedding of its hash beside the mean embedding of its
 character n-grams, so words never seen still have their parts. All windows of
 WINDOW words, STRIDE apart (they overlap), of every whole text are scored; the
-highest window counts. Trained in numpy on at most TRAIN_ROWS labelled rows of
-each label (the documented bound): windows that look most suspicious by the
+highest window counts. Trained in numpy, in one task, on at most TRAIN_ROWS
+distinct texts of each label, none longer than TRAIN_CHARS (the documented
+bound): windows that look most suspicious by the
 log-odds of their n-grams, then those the network itself finds worst.
 
 Null texts and texts without a word have score 0. Rows without a label teach
 nothing; if a label is missing altogether every score is 0. Repeated rows are
-scored alike; other columns are never read.
+scored alike; other columns are never read. Rows whose id is null are scored,
+teach nothing and are not held out.
 """
 
 from __future__ import annotations
@@ -21,12 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import id_remainder, sample_at_most, small_batches, table
+from .shared import fitted, id_remainder, labelled, loaded, small_batches, table, teaching_rows
 
 WINDOW, STRIDE = 32, 24
 HIDDEN, D_WORD, D_CHAR = 8, 4, 8
 WORD_BITS, CHAR_BITS = 16, 19
-TRAIN_ROWS = 1000
+#: Teaching texts of each label at most, and characters of the longest one.
+TRAIN_ROWS, TRAIN_CHARS = 1000, 200_000
 #: Documents' worth of the base rate that every n-gram counts as besides what was seen.
 PRIOR = 10.0
 #: Cost of a clean document flagged, in toxic ones missed (clean ones are far more).
@@ -290,20 +293,19 @@ def _learn(m, g2, keys, slot, bounds, inv, at, size, y, rate: float = 0.08):
         m[k][i] -= rate * total / np.sqrt(g2[k][i])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
-    teach = labels.where((id_remainder("doc_id", 5) != 0) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("y"))
-    rows = sample_at_most(teach, "y", most).dropDuplicates(["doc_id"])
-    got = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(rows), "doc_id").orderBy("doc_id", "text").collect()
-    return [r["text"] for r in got], [r["y"] for r in got]
+def trained(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS):
+    """The broadcast model of the labelled documents that may teach."""
+    y = labels.where((id_remainder("doc_id", 5) != 0) & F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("y"))
+    return fitted(teaching_rows(labelled(docs, y, most), most, TRAIN_CHARS), fit, "toxicity-model")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: score, prediction, and where its worst window begins (in words)."""
     small_batches(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(fit(*training_rows(docs, labels)))
+    model = trained(docs, labels)
 
     def score(batches):
-        m = model.value
+        m = loaded(model)
         for batch in batches:
             buf, offs = K.utf8(K.text_column(batch))
             for lo, hi in K.slices(offs, 1 << 20):

@@ -174,7 +174,7 @@ def test_toxicity_gradients():
 
 def test_toxicity(spark):
     text = "the of and in to " * 12
-    rows = [(i, (text + ("you idiot scum " if i % 2 else "you kind soul ") + text)) for i in range(300)]
+    rows = [(i, (text + ("you idiot scum " if i % 2 else "you kind soul ") + text + f"w{i}")) for i in range(300)]
     lab = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], "doc_id long, quality int, toxic int")
     got = toxicity.toxicity(spark.createDataFrame(rows + [(900, None), (901, "")], "doc_id long, text string"), lab).collect()
     held = [r for r in got if r["held_out"] and r["doc_id"] < 900]
