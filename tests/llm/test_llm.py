@@ -253,32 +253,6 @@ def test_runs_at_every_place():
         assert all(set(range(i, i + 46)) <= covered for i in range(len(x) - 45) if x[i : i + 46].tobytes() in have)
 
 
-def tiled(spark, texts):
-    """What _tiles finds among whole texts as windows of one key: the covered places of each document."""
-    import numpy as np
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
-    (_, _, sh, _, bounds), = substring_dedup.shingled(batch.column(0), 5)
-    names = [(sh[a:b] >> np.uint64(32)).astype(np.uint32) for a, b in zip(bounds, bounds[1:])]
-    seqs = spark.createDataFrame([(i, bytearray(v.tobytes())) for i, v in enumerate(names)], "doc long, seq binary")
-    rows = spark.createDataFrame([(1, i, 0, len(v) - 1, False) for i, v in enumerate(names)], "key long, doc long, l int, r int, met boolean")
-    got = {}
-    for r in substring_dedup._tiles(rows, seqs, 46, 0.8).collect():
-        got.setdefault(r["doc"], set()).update(range(r["first"], r["first"] + r["n"]))
-    return got
-
-
-def test_tiles_go_on(spark):
-    shared, sentence = passage(90, 11).split(), passage(20, 12)
-    long = " ".join(shared)
-    got = tiled(spark, [f"{passage(60, 13)} {' '.join(shared[:55])} {passage(20, 14)}", f"{long} {passage(60, 15)}", f"{passage(30, 16)} {long} {passage(40, 17)}"])
-    assert set(range(30, 116)) <= got[2]
-    # One sentence three times has few distinct shingles, but as many places as another passage.
-    got = tiled(spark, [f"{passage(70, 21)} {sentence} {sentence} {sentence}", f"{sentence} {sentence} {sentence} {passage(70, 22)}"])
-    assert set(range(56)) <= got[1]
-
-
 def covered_words(spark, rows):
     """Covered places of each document under one hash function, so that each passage of 50 words has one key."""
     got = {}
@@ -321,6 +295,44 @@ def test_chains_of_near_copies(spark, monkeypatch):
     assert set(range(70)) <= got[1] and set(range(70)) <= got[2]
 
 
+def test_a_passage_around_a_common_line(spark):
+    line, other = passage(10, 71), passage(60, 72)
+    around = f"{passage(30, 73)} {line} {passage(30, 74)}"
+    rows = [(i, f"{passage(40, 500 + i)} {line} {passage(40, 600 + i)}{' ' + other if i == 0 else ''}") for i in range(42)]
+    rows += [(50, f"{passage(20, 700)} {around}"), (60, f"{around} {passage(15, 701)} {other}")]
+    got = covered_words(spark, rows)
+    assert set(got) == {60} and set(range(70)) | set(range(85, 145)) <= got[60]
+
+
+def test_two_texts_under_one_id_and_repeated_rows(spark):
+    shared, own = passage(70, 81), passage(120, 82)
+    rows = [(1, shared), (2, f"{shared} {passage(9, 83)}"), (2, own), (3, own + " more"), (None, shared + " tail"), (4, "  " + shared + "\n"), (None, None), (5, "")] + [(6, passage(80, 84))] * 50
+    df = spark.createDataFrame([(i, t, 7, 3) for i, t in rows], "doc_id long, text string, spans int, n_chars int")
+    left = sorted((str(r["doc_id"]), r["text"] or "", r["n_chars"]) for r in substring_dedup.remove_passages(df).collect())
+    want = [(1, shared, 3), (2, passage(9, 83), None), (2, own, 3), (3, "more", 4), (None, "tail", 4), (4, "", 0), (None, "", 3), (5, "", 3)] + [(6, passage(80, 84), 3)] * 50
+    assert left == sorted((str(i), t, len(t) if n is None else n) for i, t, n in want)
+
+
+def test_equal_passages_against_all_pairs(spark):
+    import random
+
+    rnd = random.Random(9)
+    blocks = [passage(n, 900 + n) for n in (8, 12, 30, 44, 50, 55, 70, 90)]
+    rows = [(i, " ".join(rnd.choice(blocks) if rnd.random() < 0.6 else passage(rnd.randint(3, 60), 5000 + 50 * i + j) for j in range(rnd.randint(1, 8)))) for i in range(90)]
+    got = covered_words(spark, rows)
+    seen = {}
+    for i, t in rows:
+        w = t.split()
+        for j in range(len(w) - 49):
+            first = seen.setdefault(tuple(w[j : j + 50]), i)
+            assert first == i or set(range(j, j + 50)) <= got.get(i, set()), (i, j)
+    names = {i: t.split() for i, t in rows}
+    five = lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string"), functions=1).collect():
+        a, b = (five(names[r[f"{p}doc_id"]][r[f"{p}first_word"] : r[f"{p}first_word"] + r[f"{p}n_words"]]) for p in ("", "rep_"))
+        assert r["rep_doc_id"] < r["doc_id"] and r["n_words"] >= 50 and len(a & b) >= 0.8 * len(a | b) - 1e-9
+
+
 def test_decontamination(spark):
     item = passage(20, 1)
     near = item.split()
