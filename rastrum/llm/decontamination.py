@@ -15,7 +15,8 @@ so RADIUS 18 passes over 99.7 % there, and nearly all above it; equal passages
 always.
 
 Result: (doc_id, item_id, first_word, n_words, similarity), the best window of
-each document (all rows of one id) and item. Null and empty texts, items with
+each document (all rows of one id; rows with a null id are one document) and
+item; of windows equally similar the first. Null and empty texts, items with
 fewer than WORDS words and documents that have no item give no row. Repeated
 rows count once; other columns are ignored.
 """
@@ -66,11 +67,18 @@ def blocked(prints: DataFrame) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    exact = _found(docs, benchmark, similarity)
+    best = exact.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("first", "n_words", "similarity"), F.struct(F.round("similarity", 9), -F.col("first"))).alias("b"))
+    return best.select("doc_id", "item_id", F.col("b.first").alias("first_word"), F.col("b.n_words").alias("n_words"), F.round("b.similarity", 9).alias("similarity"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
+    """Windows (doc_id, rid, first, n_words, item_id, similarity) similar enough to an item; rid: hash of id and text."""
     items = cut(shingled(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")), "item_id").where(F.col("n_words") >= WORDS), "items")
     placed = items.select("item_id", "n_words", F.posexplode_outer("sh").alias("at", "s"))
     weights = placed.groupBy("s").agg((F.lit(1.0) / F.count_distinct("item_id")).alias("w"))
     n_placed = placed.count()
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("doc_id", "text").alias("rid"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")).alias("rid"))
     # Windows: the document's shingle at `pos` is the item's at `at`.
     hits = shingled(rows, "doc_id", "rid").select("doc_id", "rid", F.posexplode_outer("sh").alias("pos", "s")).join(sized(placed, n_placed), "s")
     windows = cut(hits.select("doc_id", "rid", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("first"), "n_words").distinct(), "windows")
@@ -94,13 +102,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     )
     common = inside.join(sized(item_shingles.select("item_id", "n_words", "s"), n_placed), ["n_words", "s"]).groupBy(*key, "item_id").agg(F.sum("w").alias("common"))
     exact = near.join(common, [*key, "item_id"]).withColumn("similarity", F.col("common") / (F.col("weight") + F.col("item_weight") - F.col("common")))
-    best = exact.where(F.col("similarity") >= similarity).groupBy("doc_id", "item_id").agg(F.max_by(F.struct("first", "n_words", "similarity"), F.struct(F.round("similarity", 9), -F.col("first"))).alias("b"))
-    return best.select("doc_id", "item_id", F.col("b.first").alias("first_word"), F.col("b.n_words").alias("n_words"), F.round("b.similarity", 9).alias("similarity"))
+    return exact.where(F.col("similarity") >= similarity).select("doc_id", "rid", "first", "n_words", "item_id", "similarity")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents (all columns) in which no item was found."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """The documents (all columns) in which no item was found; a row is judged by its own id (null or not) and text."""
+    rid = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), rid.alias("rid"))
+    return keyed.join(_found(docs, benchmark, SIMILARITY).select("rid").distinct(), "rid", "left_anti").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,9 @@ prose, and its blocks are joined in page order.
 
 Null and empty pages have an empty text. A page without markup is one block.
 White space inside a block becomes one space, character references are decoded,
-nothing is capped. Repeated rows and ids are each extracted alone; other
-columns are ignored.
+nothing is capped. A form that holds most of the page's text stays. Of
+containers with one score the first in the page is the best. Repeated rows and
+ids, null ids too, are each extracted alone; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ def unwanted(name: str, attrs: dict) -> bool:
     return len(words) > 1 and bool(AGAINST.search(words)) and not FOR.search(words)
 
 
-def tree(page: str) -> Node:
-    """The page as a tree; end tags without a start are passed over, open elements end where HTML says so, and elements nested deeper than MOST_DEEP stay at that depth."""
+def tree(page: str, forms: bool = False) -> Node:
+    """The page as a tree; forms: what is in a form stays. End tags without a start are passed over, open elements end where HTML says so, and elements nested deeper than MOST_DEEP stay at that depth."""
     root = here = Node("#root", {}, None)
     depth = 0
     at, n = 0, len(page)
@@ -97,6 +98,8 @@ def tree(page: str) -> Node:
                 if last:
                     here, depth = last[0].up, last[1] - 1
             node = Node(name, attrs, here)
+            if forms and name == "form":
+                node.gone = here.gone
             here.kids.append(node)
             if name in RAW:
                 close = re.compile(rf"</{re.escape(name)}(?=[\s>/]|$)[^>]*(?:>|$)", re.I).search(page, at)
@@ -179,6 +182,11 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks(tree(page))
+    if "<form" in page.lower():
+        # A form around the page's text is a container like any other.
+        whole = blocks(tree(page, True))
+        if sum(len(b.text) for b in whole) > 2 * sum(len(b.text) for b in found):
+            found = whole
     if not found:
         return ""
     scores: dict[int, float] = {}
@@ -237,7 +245,7 @@ def main_text(page: str | None) -> str:
         node = b.owner
         while node is not None and id(node) not in keep:
             node = node.up
-        if node is not None and not (b.kind in ("li", "div", "td") and b.linked >= 0.8 * len(b.text) and len(b.text) < 200):
+        if node is not None:
             out.append(b.text)
     return "\n\n".join(out)
 

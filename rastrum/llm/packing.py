@@ -2,7 +2,7 @@
 
 Each document is encoded once; a vector of its hashed tokens is projected to
 DIMS numbers, and its place on a Hilbert curve through that space is its sort
-key (a hash of the document breaks ties, so that a large group of copies is
+key (a hash of the document, and of how often its task has met it, breaks ties, so that a large group of copies is
 dealt over many tasks). Key ranges of about equal size come from a sample of at
 most SAMPLE documents; it only sets the balance, never what is packed. Within a
 range documents follow each other along the curve without gaps and are cut
@@ -15,7 +15,9 @@ rows are packed as often as they occur. Other columns are ignored.
 from __future__ import annotations
 
 import functools
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +29,8 @@ from .shared import small_batches, table
 
 LENGTH = 1024
 DIMS, DEPTH = 4, 10
-SAMPLE = 20_000
+#: Bytes of text for a range (some 400 sequences at least), ranges at most, and sampled documents for each.
+RANGE_BYTES, RANGES, KEYS_A_RANGE = 2 << 20, 20_000, 60
 BUCKETS = 1 << 12
 U = np.uint64
 
@@ -47,6 +50,21 @@ def encoder(vocabulary: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=v.id_of, special_tokens=v.special)
 
 
+#: Fixed value: the characters that the pattern's \\s stands for, in a run so long that the pattern would not end well.
+_LONG_SPACE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
+def ids_of(enc, text: str) -> np.ndarray:
+    """Ids of a whole text. In a run of white space all but the last character is one piece of the pattern (all, at the end); so around long runs the text is encoded in parts, which takes time in proportion to it."""
+    out, at = [], 0
+    for m in _LONG_SPACE.finditer(text):
+        out.append(enc.encode_to_numpy(text[at : m.start()], allowed_special="all"))
+        at = m.end() - (m.end() < len(text))
+        out.append(np.array(enc._encode_single_piece(text[m.start() : at]), np.uint32))
+    out.append(enc.encode_to_numpy(text[at:], allowed_special="all"))
+    return np.concatenate(out).astype(np.uint32)
+
+
 @functools.cache
 def projection() -> np.ndarray:
     """Random directions, one row for each bucket of hashed ids."""
@@ -91,44 +109,52 @@ def curve_keys(ids: list[np.ndarray], salt: np.ndarray) -> np.ndarray:
     return hilbert(cells) << 20 | (salt >> U(44)).astype(np.int64)
 
 
-def _encode(vocabulary: str, batch: pa.RecordBatch):
-    """Slices of a batch: (first row, encoded ids of each row, keys)."""
-    enc = encoder(vocabulary)
-    column = K.text_column(batch).fill_null("")
-    _, offs = K.utf8(column)
-    doc = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(U)
-    for lo, hi in K.slices(offs):
-        ids = [enc.encode_to_numpy(t, allowed_special="all").astype(np.uint32) for t in column.slice(lo, hi - lo).to_pylist()]
-        yield lo, hi, ids, curve_keys(ids, K.mix(doc[lo:hi] * U(0xD1B54A32D192ED03) + U(1)))
+def _encode(vocabulary: str, batches):
+    """Slices of batches (doc_id, text, hash): (batch, first row, end, encoded ids of each row, keys)."""
+    enc, met = encoder(vocabulary), Counter()
+    for batch in batches:
+        column = K.text_column(batch).fill_null("")
+        _, offs = K.utf8(column)
+        own = batch.column(2).to_numpy().view(U)
+        salt = np.zeros(len(own), U)
+        for i, h in enumerate(own.tolist()):
+            salt[i] = met[h]
+            met[h] += 1
+        for lo, hi in K.slices(offs):
+            ids = [ids_of(enc, t) for t in column.slice(lo, hi - lo).to_pylist()]
+            yield batch, lo, hi, ids, curve_keys(ids, K.mix(own[lo:hi] * U(0xD1B54A32D192ED03) + salt[lo:hi]))
+
+
+def _bounds(rows: DataFrame, vocabulary: str) -> np.ndarray:
+    """Where the ranges of keys begin, but the first; from a sample of the rows, of bounded size."""
+    count, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n = int(min(max(1, size // RANGE_BYTES), RANGES))
+    if n == 1:
+        return np.zeros(0, np.int64)
 
+    def keys(batches):
+        for _, _, _, _, key in _encode(vocabulary, batches):
+            yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
 
-def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
-    """One row per piece: its place in its document and in its sequence."""
-    spark = docs.sparkSession
-    small_batches(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    share = min(1.0, KEYS_A_RANGE * n / count)
+    found = np.sort(rows.sample(share, 7).mapInArrow(keys, "key long").toArrow().column("key").to_numpy())
+    return found[(np.arange(1, n) * len(found)) // n] if len(found) else np.zeros(0, np.int64)
 
-    def keys(batches):
-        for batch in batches:
-            for _, _, _, key in _encode(vocabulary, batch):
-                yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
 
-    # The sample for the range bounds: a hash of the id picks it, and its share falls as the table grows.
-    total = rows.count()
-    share = min(1.0, 2000 / max(total, 1)) if total > 2000 else 1.0
-    pick = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) < max(1, int(share * (1 << 20)))
-    found = np.sort(np.array([r[0] for r in rows.where(pick).mapInArrow(keys, "key long").limit(SAMPLE).collect()], np.int64))
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    bounds = found[(np.arange(1, n) * len(found)) // n] if len(found) else np.zeros(0, np.int64)
+def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
+    """One row per piece: its place in its document and in its sequence."""
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("h", F.xxhash64("doc_id", "text"))
+    bounds = _bounds(rows, vocabulary)
+    n = len(bounds) + 1
 
     def encode(batches):
-        for batch in batches:
-            for lo, hi, ids, key in _encode(vocabulary, batch):
-                raw = [x.astype(np.uint16 if not len(x) or x.max() < 1 << 16 else np.uint32) for x in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(bounds, key, "right"), pa.int32()), pa.array(key), batch.column(0).slice(lo, hi - lo), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array([x.tobytes() for x in raw], pa.binary())],
-                    names=["part", "key", "doc_id", "n", "ids"],
-                )
+        for batch, lo, hi, ids, key in _encode(vocabulary, batches):
+            raw = [x.astype(np.uint16 if not len(x) or x.max() < 1 << 16 else np.uint32) for x in ids]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.searchsorted(bounds, key, "right"), pa.int32()), pa.array(key), batch.column(0).slice(lo, hi - lo), pa.array([len(x) + 1 for x in ids], pa.int64()), pa.array([x.tobytes() for x in raw], pa.binary())],
+                names=["part", "key", "doc_id", "n", "ids"],
+            )
 
     def cut(batches):
         part, done = -1, 0

@@ -133,6 +133,30 @@ def test_splitter_matches_library():
     assert got == want
 
 
+def test_packing_blanks_repeats_and_many_ranges(spark, monkeypatch):
+    import numpy as np
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    path = P.path("byte_bpe_50k.json")
+    rows = [(1, " " * 1_000_000 + "a"), (2, "x" + "\n" * 5000 + "y"), (3, "\t" * 9000), (None, "no id"), (4, "")] + [(5, "one row " * 40)] * 300 + [(6 + i, f"word{i} " * 50) for i in range(300)]
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, part int").repartition(3)
+    library = Tokenizer.from_file(path)
+    for size in (packing.RANGE_BYTES, 100_000):
+        monkeypatch.setattr(packing, "RANGE_BYTES", size)
+        pieces = packing.pack(df, path).collect()
+        whole = {}
+        for p in pieces:
+            if p["start"] == 0:
+                whole[p["doc_id"], p["doc_tokens"]] = whole.get((p["doc_id"], p["doc_tokens"]), 0) + 1
+        assert whole == Counter((i, len(library.encode(t, add_special_tokens=False).ids) + 1) for i, t in rows)
+        tokens, sequences = sum(p["length"] for p in pieces), len({p["sequence_id"] for p in pieces})
+        assert sequences <= -(-tokens // 1024) + 1_200_000 // size + 2
+    one = next(p for p in pieces if p["doc_id"] == 2)
+    ids = np.array([*library.encode(rows[1][1], add_special_tokens=False).ids, 0], "<u4")
+    assert one["ids_crc32"] == zlib.crc32(ids[one["start"] : one["start"] + one["length"]].tobytes())
+
+
 def test_hilbert_is_a_walk():
     import itertools
 
@@ -146,7 +170,7 @@ def test_hilbert_is_a_walk():
 
 def test_language(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
-    extra = spark.createDataFrame([(900_001, None, "en"), (900_002, "", None), (900_003, "12 34 !!", "de")], "doc_id long, text string, lang string")
+    extra = spark.createDataFrame([(900_001, None, "en"), (900_002, "", None), (900_003, "12 34 !!", "de"), (900_004, "\u0301\u0300 \u0301", None)], "doc_id long, text string, lang string")
     got = language_id.identify(d.select("doc_id", "text", "lang").unionByName(extra)).join(d.select("doc_id", F.col("lang").alias("truth")), "doc_id", "left").collect()
     assert all(r["lang_pred"] == "und" and r["score"] == 0 for r in got if r["doc_id"] > 900_000)
     held = [r for r in got if r["held_out"] and r["truth"]]
@@ -186,6 +210,10 @@ def test_html():
     page = """<html><body><header><h1>Site</h1></header><div class="nav"><a href=x>Home</a></div><div class=cookie-notice>We use cookies, ok.</div>
     <div id="content"><h2>Title here</h2><p>First, some text, long enough to score well, yes.<p>Second &amp; more,   with commas.<div class="ad">Buy now, cheap</div>
     <ul><li>point one, with text</li></ul></div><div id=comments><p>I like this, really, a long comment, with many words, and commas, everywhere.</p></div><aside>Side, text</aside><script>var a="<p>x</p>";</script></body></html>"""
+    listed = "<article><p>Some prose, long enough, with commas, and more of it, here.</p><ul><li><a href=x>A source of the article</a></li></ul></article>"
+    assert html_text.main_text(listed).endswith("\n\nA source of the article")
+    assert html_text.main_text(f"<body><form action=x>{listed}</form></body>") == html_text.main_text(listed)
+    assert html_text.main_text("<p>Prose, with commas, and so on, and more.</p><form><p>Name</p></form>") == "Prose, with commas, and so on, and more."
     assert html_text.main_text(page) == "Title here\n\nFirst, some text, long enough to score well, yes.\n\nSecond & more, with commas.\n\npoint one, with text"
     assert [html_text.main_text(x) for x in (None, "", "plain", "<p>", "&lt;b&gt;", "<div>" * 3000 + "deep" + "</div>" * 3000)] == ["", "", "plain", "", "<b>", "deep"]
 
@@ -204,6 +232,26 @@ def test_url_alias_in_mixed_case(spark):
     assert [r["verdict"] for r in url_filters.url_filters(pages).collect()] == ["block"]
 
 
+def test_url_targets_of_every_kind(spark):
+    import duckdb
+
+    tag = '<LINK REL="canonical" HREF="{}">'.format
+    rows = [
+        (1, "http://a.org/x/p.html", tag("z.html")), (2, "http://a.org/x/z.html", tag("//b.net/es/q")), (3, "http://c.org/a/b/c", tag("../../d/./e")), (4, "http://c.org/d/e", tag("http://b.net/fr/")),
+        (5, "http://d.org/s?k=1", tag("?k=2")), (6, "http://d.org/s?k=2", tag("https://net/es/1")), (7, "http://e.org", tag("up")), (8, "http://e.org/up", '<meta http-equiv=refresh content="0;URL=//x.net/fr/a">'),
+        (9, "http://f.org/1", "<!-- " + tag("http://b.net/es/") + " -->"), (10, "http://g.org/1", "<script>var a='" + tag("http://b.net/es/") + "';</script>"), (11, "http://h.org/", tag("mailto:a@b.c")),
+        (12, "http://i.org/a/", tag("../../../b/..")), (13, "http://i.org/", tag("//net/es/")), (14, None, tag("x")), (None, "http://a.org/x/p.html", None), (15, "nope", tag("http://net/es/")),
+        (16, "http://j.org/a?b#c", tag("#d")), (17, "http://j.org/a?b", tag("http://net/fr/")), (18, "http://net/es/", None), (18, "http://net/es/", None), (19, "", ""),
+    ]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, address string")
+    got = sorted(repr(tuple(r)) for r in url_filters.url_filters(pages).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    con.executemany("INSERT INTO pages VALUES (?, ?, ?)", rows)
+    assert got == sorted(repr(tuple(r)) for r in con.sql(f"SELECT page_id, host, path, rule, verdict FROM ({url_filters.ORACLE_SQL})").fetchall())
+    assert {r[0] for r in map(eval, got) if r[4] == "block"} == {*range(1, 9), 12, 13, 16, 17, 18, None}
+
+
 def passage(n, seed):
     import random
 
