@@ -179,31 +179,27 @@ def _mapped(docs: DataFrame, k: int, bands: tuple[int, int], parts: int) -> Data
     return docs.mapInArrow(run, "part int, chunk long, data binary, doc_id long, h long, n long, fp long, id long, sketch binary")
 
 
-#: One number for a set in a document, alike in Spark and numpy.
-_IN = "fp ^ shiftleft(doc_id, 17) ^ doc_id"
-
-
 def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, rows: int) -> DataFrame:
-    """(fp, set) of the wanted sets (column fp), read anew from the first document of each: cheaper than carrying all sets through a shuffle. A bitmap picks the documents; a few others may come along. Repeated rows of that document give their set once."""
-    picked = reps.join(wanted.select("fp").distinct(), "fp", "left_semi").select("fp", F.coalesce("rep", F.lit(0)).alias("doc_id"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(picked.select(F.expr(_IN).alias("x")), "x", rows))
+    """(fp, set) of the wanted sets (column fp), read anew from the first document of each (x: hash of its id and text): cheaper than carrying all sets through a shuffle. A bitmap picks the documents; a few others may come along. Repeated rows of that document give their set once."""
+    picked = reps.join(wanted.select("fp").distinct(), "fp", "left_semi")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bloom_of(picked, "x", rows))
 
     def run(batches):
         met = set()
         for batch in batches:
-            ids = batch.column(0).fill_null(0).to_numpy()
+            batch = batch.filter(pa.array(in_bloom(bitmap.value, batch.column(1).to_numpy().view(U))))
             names, data = [], []
-            for i, s in sets_of(K.text_column(batch), k):
-                name = np.array([print_of(s)], np.int64)
-                if in_bloom(bitmap.value, (name ^ (ids[i : i + 1] << 17) ^ ids[i]).view(U))[0] and int(name[0]) not in met:
-                    met.add(int(name[0]))
-                    if len(met) > 1 << 20:
+            for _, s in sets_of(K.text_column(batch), k):
+                name = print_of(s)
+                if name not in met:
+                    if len(met) >= 1 << 20:
                         met.clear()
-                    names.append(int(name[0]))
+                    met.add(name)
+                    names.append(name)
                     data.append(s.tobytes())
             yield pa.RecordBatch.from_pydict({"fp": pa.array(names, pa.int64()), "set": pa.array(data, pa.binary())})
 
-    return docs.mapInArrow(run, "fp long, set binary").dropDuplicates(["fp"])
+    return docs.select("text", F.xxhash64("doc_id", "h").alias("x")).mapInArrow(run, "fp long, set binary").dropDuplicates(["fp"])
 
 
 def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: int) -> DataFrame:
@@ -317,7 +313,7 @@ def components_of_rows(docs: DataFrame, k: int = 4, part: int = 85, whole: int =
     several = thin.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     keyed = cut(thin.join(several, "key"), "keys")
     drop(every, thin)
-    reps = cut(named.groupBy("fp").agg(F.min("doc_id").alias("rep")), "names")
+    reps = cut(named.groupBy("fp").agg(F.min(F.struct("doc_id", "h")).alias("rep")).select("fp", F.xxhash64("rep.doc_id", "rep.h").alias("x")), "names")
     sketches = cut(named.where("sketch is not null").join(keyed.select("fp").distinct(), "fp", "left_semi").select("fp", "n", "sketch").dropDuplicates(["fp"]), "sketches")
     sets_for = lambda wanted: _sets(docs, k, wanted, reps, total)
     links, tried, comp, used = None, None, None, []
