@@ -88,3 +88,28 @@ def best_acquisition(tiles: DataFrame) -> DataFrame:
 
 def majority_crs(tiles: DataFrame, *by: str) -> DataFrame:
     return tiles.groupBy(*by, "crs").count().groupBy(*by).agg(F.min_by("crs", F.struct(-F.col("count"), F.col("crs"))).alias("crs"))
+
+
+def read_keys(tiles: DataFrame, want: DataFrame, bands: list, xs: list, ys: list, first: str, last: str) -> DataFrame:
+    """Tiles with one of some keys (band, date, x, y); lists and the span of dates go to the scan, the exact keys to a semi join."""
+    near = tiles.where(F.col("band").isin(*set(bands)) & F.col("x").isin(*set(xs)) & F.col("y").isin(*set(ys)) & F.col("date").between(first, last))
+    return near.join(want, ["band", "date", "x", "y"], "left_semi")
+
+
+def range_join(tiles: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
+    """Tiles (west, south, east, north) with the boxes (w, s, e, n) that they overlap: both sides are dealt into cells, and a pair counts in the cell that holds the south-west corner of what they share."""
+    cells = lambda df, w, s, e, n: df.withColumn("_cx", F.explode(F.sequence(F.floor(F.col(w) / cell), F.floor(F.col(e) / cell)))).withColumn("_cy", F.explode(F.sequence(F.floor(F.col(s) / cell), F.floor(F.col(n) / cell))))
+    met = cells(tiles, "west", "south", "east", "north").join(cells(boxes, "w", "s", "e", "n"), ["_cx", "_cy"])
+    corner = (F.floor(F.greatest("west", "w") / cell) == F.col("_cx")) & (F.floor(F.greatest("south", "s") / cell) == F.col("_cy"))
+    return met.where(corner & (F.col("north") > F.col("s")) & (F.col("south") < F.col("n")) & (F.col("east") > F.col("w")) & (F.col("west") < F.col("e"))).drop("_cx", "_cy")
+
+
+def checked_matches(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """Catalog rows with their stored tile; an error where a row has none, or several. Keys match null-safely."""
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    counted = stored.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in stored.columns if c not in keys))
+    met = rows.alias("a").join(counted.alias("b"), on, "left")
+    fault = F.when(F.col("b._n").isNull(), "a catalog row has no stored tile").when(F.col("b._n") > 1, "a catalog row has several stored tiles")
+    return met.where(F.when(fault.isNull(), True).otherwise(F.raise_error(fault).cast("boolean"))).select("a.*", *(F.col(f"b.{c}") for c in stored.columns if c not in rows.columns))

@@ -54,7 +54,7 @@ _HELD = "parts AS (SELECT band, date, x, y, tile_px, valid_px, unnest(CASE WHEN
 
 @query(f"SELECT band, date, x, y, crs, acq, scene_id FROM obs WHERE {_bbox_sql(*BOX)} AND band = 'A'", "obs")
 def tiles_for_bbox(obs):
-    return obs.where(T.bbox_intersects(BOX) & (F.col("band") == "A")).select("band", "date", "x", "y", "crs", "acq", "scene_id")
+    return obs.where(T.bbox_intersects(BOX) & (F.col("band") == "A")).select("band", "date", "x", "y", "crs", "acq", "scene_id").orderBy("band", "date", "x", "y")
 
 
 @query("SELECT band, date, x, y, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM obs WHERE date LIKE '1996-0%' AND (date = '1996-03-01' OR NOT EXISTS (SELECT 1 FROM obs WHERE date = '1996-03-01'))".replace("date LIKE '1996-0%'", "date LIKE '1996-03-01%'"), "obs")
@@ -334,12 +334,6 @@ def modis_scene_tiles(scenes):
     return s.select("h", "v", (F.col("h") * 5 - 90 + F.col("i")).cast("long").alias("tx"), (44 - F.col("v") * 5 - F.col("j")).cast("long").alias("ty"))
 
 
-@query("SELECT c_custkey, CAST(floor((lon * 1000 + 180000) / 10000.0::DOUBLE) AS BIGINT) AS h, CAST(floor((90000 - lat * 1000) / 10000.0::DOUBLE) AS BIGINT) AS v, CAST(CAST(floor((lon + 180) * 24) AS BIGINT) % 240 AS BIGINT) AS col_in, CAST(CAST(floor((90 - lat) * 24) AS BIGINT) % 240 AS BIGINT) AS row_in FROM aoi_pts", "aoi_pts")
-def modis_offset(p):
-    lon, lat = F.col("lon"), F.col("lat")
-    return p.select("c_custkey", F.floor((lon * 1000 + 180000) / 10000.0).alias("h"), F.floor((90000 - lat * 1000) / 10000.0).alias("v"), (F.floor((lon + 180) * 24) % 240).alias("col_in"), (F.floor((90 - lat) * 24) % 240).alias("row_in"))
-
-
 @query("SELECT DISTINCT x, y, r AS k, CAST(((x * 100 + r) % 1440 + 1440) % 1440 AS BIGINT) AS col, CAST(360 - (y * 100 + 100 - r) + 1 AS BIGINT) AS \"row\", 360 - (y * 100 + 100 - r) + 1 BETWEEN 0 AND 720 AS valid FROM obs, range(0, 100) t(r)", "obs")
 def era5_window(obs):
     t = obs.select("x", "y").distinct().withColumn("k", F.explode(_upto(99)))
@@ -445,8 +439,12 @@ def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
+    from rastrum.plans import scalars  # noqa: F401  registers its own
+
     return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec, "stream_upsert": upsert.query, "catalog_publish": store.publish_query}
 
 
 def oracle_sql() -> dict[str, str]:
+    from rastrum.plans import scalars  # noqa: F401
+
     return dict(_SQL)
