@@ -37,23 +37,27 @@ def sinusoidal_inverse(x, y):
 
 
 def outline(w, s, e, n):
-    """Points along the edges of rectangles, corners first in each edge: arrays of one row per rectangle."""
-    t = np.arange(STEPS) / STEPS
-    w, s, e, n = (np.asarray(v, float)[:, None] for v in (w, s, e, n))
-    x = np.concatenate([w + (e - w) * t, e + 0 * t, e + (w - e) * t, w + 0 * t], 1)
-    y = np.concatenate([s + 0 * t, s + (n - s) * t, n + 0 * t, n + (s - n) * t], 1)
-    return x, y
+    """Points along the edges of rectangles, STEPS to an edge: arrays of one row per rectangle."""
+    x, y = (np.stack(np.broadcast_arrays(*(np.asarray(v, float) for v in side)), -1) for side in ((w, e, e, w), (s, s, n, n)))
+    share = np.arange(STEPS) / STEPS
+    between = lambda v: (v[..., None] * (1 - share) + np.roll(v, -1, -1)[..., None] * share).reshape(*v.shape[:-1], -1)
+    return between(x), between(y)
 
 
 def bounds_of(lon: np.ndarray, lat: np.ndarray) -> np.ndarray:
-    """west, south, east, north of outlines; west > east where one crosses the antimeridian, NaN where a point has no place. The widest gap between longitudes is what the outline leaves out."""
-    out = np.stack([lon.min(1), lat.min(1), lon.max(1), lat.max(1)], 1)
-    wide = np.flatnonzero((out[:, 2] - out[:, 0] >= 180) | (out[:, 0] < -180) | (out[:, 2] > 180))
-    for i in wide:
-        ring = np.sort((lon[i] + 180) % 360 - 180)
-        gap = np.diff(np.r_[ring, ring[0] + 360])
-        k = int(gap.argmax())
-        out[i, 0], out[i, 2] = ring[(k + 1) % len(ring)], ring[k]
+    """west, south, east, north of outlines; west > east where one crosses the antimeridian, NaN where a point has no place. An outline is walked point by point the short way round; one that comes back a turn further on goes round a pole, which it then holds."""
+    turns = -np.round((np.roll(lon, -1, 1) - lon) / 360)
+    before = np.concatenate([np.zeros((len(lon), 1)), np.cumsum(turns, 1)], 1)
+    path = lon + 360 * before[:, :-1]
+    low, high = path.min(1), path.max(1)
+    round_pole = (before[:, -1] != 0) | (high - low >= 360)
+    north = lat.mean(1) > 0
+    home = lambda v: np.where(np.abs(v) <= 180, v, (v + 180) % 360 - 180)
+    west, east = np.where(round_pole, -180.0, home(low)), np.where(round_pole, 180.0, home(high))
+    south = np.where((before[:, -1] != 0) & ~north, -90.0, lat.min(1))
+    top = np.where((before[:, -1] != 0) & north, 90.0, lat.max(1))
+    out = np.stack([west, south, east, top], 1)
+    out[np.isnan(lon).any(1) | np.isnan(lat).any(1)] = np.nan
     return out
 
 

@@ -439,12 +439,12 @@ def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    from rastrum.plans import scalars  # noqa: F401  registers its own
+    from rastrum.plans import scalars, stored  # noqa: F401  they register their own
 
     return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec, "stream_upsert": upsert.query, "catalog_publish": store.publish_query}
 
 
 def oracle_sql() -> dict[str, str]:
-    from rastrum.plans import scalars  # noqa: F401
+    from rastrum.plans import scalars, stored  # noqa: F401
 
     return dict(_SQL)
