@@ -13,7 +13,6 @@ from rastrum.sources import codec
 #: Columns of a stored tile that name it, and those that merging makes anew.
 KEY = ["band", "date", "x", "y", "crs", "acq"]
 MADE = ["scene_id", "valid_px", "cloud_pct", "fetched_at", "size_bytes", "data"]
-STORED = "band string, date string, x long, y long, crs string, acq string, scene_id string, valid_px int, cloud_pct double, fetched_at long, size_bytes long, data binary"
 
 
 def observed(a: np.ndarray, nodata: float | None) -> np.ndarray:
@@ -39,8 +38,8 @@ def read_tiles(catalog: DataFrame, stored: DataFrame, keys: list[str]) -> DataFr
 
 
 def merged(rows: DataFrame) -> DataFrame:
-    """Rows of STORED with one for each key whose parts come from several scenes of an acquisition: pixels of the fullest part first (ties: scene), then of the others; scenes joined, valid pixels counted, cloud weighted by valid pixels, newest time. Parts that do not fit (size, type, nodata) stay as they are."""
-    own = rows.select(*KEY, *MADE).withColumn("_n", F.count("*").over(Window.partitionBy(*KEY)))
+    """Stored rows (KEY, MADE and any other columns, which come from the fullest part) with one for each key whose parts come from several scenes of an acquisition: pixels of the fullest part first (ties: scene), then of the others; scenes joined, valid pixels counted, cloud weighted by valid pixels, newest time. Parts that do not fit (size, type, nodata) stay as they are."""
+    own = rows.withColumn("_n", F.count("*").over(Window.partitionBy(*KEY)))
     alone = own.where("_n = 1 or acq is null").drop("_n")
 
     def run(t: pa.Table) -> pa.Table:
@@ -55,14 +54,14 @@ def merged(rows: DataFrame) -> DataFrame:
         weight = sum(x["valid_px"] for x in known)
         scenes = sorted({s for x in r for s in (x["scene_id"] or "").split("|") if s})
         data = codec.encode(a, nodata, *place)
-        one = {k: r[0][k] for k in KEY} | {
+        one = r[order[0]] | {
             "scene_id": "|".join(scenes) or None, "valid_px": int(observed(a, nodata).sum()), "cloud_pct": round(sum(x["cloud_pct"] * x["valid_px"] for x in known) / weight, 2) if weight else None,
             "fetched_at": max(x["fetched_at"] for x in r), "size_bytes": len(data), "data": data,
         }
         return pa.Table.from_pylist([one], schema=t.schema)
 
     split = own.where("_n > 1 and acq is not null").drop("_n")
-    return alone.unionByName(split.groupBy(*KEY).applyInArrow(run, STORED))
+    return alone.unionByName(split.groupBy(*KEY).applyInArrow(run, rows.schema))
 
 
 def mosaic(tiles: DataFrame, edge: int, ring: list[tuple[float, float]] | None = None) -> DataFrame:
@@ -106,3 +105,23 @@ def series(tiles: DataFrame, row: int, col: int) -> DataFrame:
 
     kinds = dict(tiles.dtypes)
     return tiles.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", value double")
+
+
+def reencoded(rows: DataFrame) -> DataFrame:
+    """Rows whose blob is written anew where that makes it smaller; pixels, nodata and place stay."""
+
+    def run(batches):
+        for batch in batches:
+            at = batch.schema.get_field_index("data")
+            data = [b.as_py() for b in batch.column(at)]
+            for i, blob in enumerate(data):
+                a, nodata, place = codec.decode(blob)
+                new = codec.encode(a, nodata, *place)
+                data[i] = min(blob, new, key=len)
+            columns = list(batch.columns)
+            columns[at] = pa.array(data, pa.binary())
+            if "size_bytes" in batch.schema.names:
+                columns[batch.schema.get_field_index("size_bytes")] = pa.array([len(b) for b in data], pa.int64())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)

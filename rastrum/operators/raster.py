@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rastrum.functions import scalars as S
+
 
 def observed(value: Column, nodata) -> Column:
     """True for a measurement: no nodata means all are; NaN nodata means not NaN (in Spark NaN equals NaN)."""
@@ -35,8 +37,8 @@ def mosaic(merged: DataFrame, across: int, edge: int) -> DataFrame:
 
 
 def share(px: DataFrame, good: Column, valid: Column, name: str) -> DataFrame:
-    """Per tile and scene 100 * good / valid in hundredths, rounded down; null without a valid pixel."""
-    return px.groupBy("tile_id", "scene_id").agg(F.sum(valid.cast("long")).alias("v"), F.sum((good & valid).cast("long")).alias("g")).select("tile_id", "scene_id", F.expr("if(v > 0, cast(floor(10000 * g / v) as bigint), null)").alias(name))
+    """Per tile and scene the percentage of good pixels among valid ones, to two places; null without a valid pixel."""
+    return px.groupBy("tile_id", "scene_id").agg(S.share(F.count_if(good & valid), F.count_if(valid)).alias(name))
 
 
 def block_share(px: DataFrame, edge: int, block: int, fill: int) -> DataFrame:

@@ -46,13 +46,19 @@ def split_keys(tiles: DataFrame) -> DataFrame:
     return tiles.where("acq is not null").groupBy(*KEY).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def _shared(tiles: DataFrame) -> DataFrame:
+    """Rows with how many hold their key (nulls are equal): one shuffle, the table is read once."""
+    return tiles.withColumn("_m", F.count("*").over(Window.partitionBy(*KEY)))
+
+
 def split_rows(tiles: DataFrame) -> DataFrame:
-    return tiles.join(split_keys(tiles), KEY, "left_semi")
+    """Rows whose key several rows of one acquisition hold."""
+    return _shared(tiles).where("acq is not null and _m > 1").drop("_m")
 
 
 def rest_rows(tiles: DataFrame) -> DataFrame:
     """Rows that no merge touches: without an acquisition, or alone in their key."""
-    return tiles.where("acq is null").unionByName(tiles.where("acq is not null").join(split_keys(tiles), KEY, "left_anti"))
+    return _shared(tiles).where("acq is null or _m = 1").drop("_m")
 
 
 def merge_rows(tiles: DataFrame) -> DataFrame:
@@ -104,6 +110,12 @@ def range_join(tiles: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
     return met.where(corner & (F.col("north") > F.col("s")) & (F.col("south") < F.col("n")) & (F.col("east") > F.col("w")) & (F.col("west") < F.col("e"))).drop("_cx", "_cy")
 
 
+def plan_tiles(candidates: DataFrame, held: DataFrame, keep=None) -> DataFrame:
+    """Candidate tiles (tx, ty) to fetch: those that a rule keeps (zone, extent, area of interest) and that are not held (x, y)."""
+    wanted = candidates if keep is None else candidates.where(keep)
+    return wanted.join(held.select(F.col("x").alias("tx"), F.col("y").alias("ty")).distinct(), ["tx", "ty"], "left_anti")
+
+
 def checked_matches(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Catalog rows with their stored tile; an error where a row has none, or several. Keys match null-safely."""
     on = F.lit(True)

@@ -159,10 +159,7 @@ def majority_crs(obs):
     return T.majority_crs(obs, "date")
 
 
-_CATALOG = ["band", "date", "x", "y", "crs", "west", "south", "east", "north", "cloud_pct", "scene_id", "size_bytes", "acq", "valid_px"]
-
-
-@query(f"SELECT {', '.join(_CATALOG)} FROM obs", "obs")
+@query(f"SELECT CAST(NULL AS VARCHAR) AS {', '.join(store.CATALOG)} FROM obs", "obs")
 def catalog_project(obs):
     return store.catalog_of(obs)
 
@@ -241,11 +238,11 @@ def _cls(px):
 
 
 def _share_sql(name, good, valid):
-    return f", {_CLS} SELECT tile_id, scene_id, CASE WHEN sum(CASE WHEN {valid} THEN 1 ELSE 0 END) > 0 THEN CAST(floor(CAST(10000 * sum(CASE WHEN ({good}) AND ({valid}) THEN 1 ELSE 0 END) AS DOUBLE) / sum(CASE WHEN {valid} THEN 1 ELSE 0 END)) AS BIGINT) END AS {name} FROM c GROUP BY tile_id, scene_id"
+    return f", {_CLS} SELECT tile_id, scene_id, CASE WHEN sum(CASE WHEN {valid} THEN 1 ELSE 0 END) > 0 THEN round_even(sum(CASE WHEN ({good}) AND ({valid}) THEN 1 ELSE 0 END)::DOUBLE / sum(CASE WHEN {valid} THEN 1 ELSE 0 END)::DOUBLE * 100.0::DOUBLE, 2) END AS {name} FROM c GROUP BY tile_id, scene_id"
 
 
 for _name, _good, _valid in (("cloud_from_classes", "cls IN (1, 3, 8, 9, 10)", "cls <> 0"), ("qa_bits", "(cls & 30) <> 0", "(cls & 1) = 0"), ("fill_share", "cls = 255", "true"), ("fire_unobserved", "cls IN (0, 1, 2, 4, 6)", "true")):
-    query(_share_sql("pct_e2", _good, _valid), "px", name=_name)(lambda px, g=_good, v=_valid: R.share(_cls(px), F.expr(g), F.expr(v), "pct_e2"))
+    query(_share_sql("pct", _good, _valid), "px", name=_name)(lambda px, g=_good, v=_valid: R.share(_cls(px), F.expr(g), F.expr(v), "pct"))
 
 
 @query(f", {_CLS} SELECT tile_id, scene_id, CAST(floor(floor(pos / 8) / 4) AS BIGINT) AS brow, CAST(floor(pos % 8 / 4) AS BIGINT) AS bcol, CASE WHEN sum(CASE WHEN cls <> 255 THEN 1 ELSE 0 END) = 0 THEN 255 ELSE CAST(round_even(100.0 * CAST(sum(CASE WHEN cls <> 255 AND cls <= 1 THEN 1 ELSE 0 END) AS DOUBLE) / sum(CASE WHEN cls <> 255 THEN 1 ELSE 0 END), 0) AS BIGINT) END AS good FROM c GROUP BY ALL", "px")

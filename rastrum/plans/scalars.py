@@ -239,6 +239,13 @@ def aoi_candidate_tiles(p):
     return P.candidate_tiles(G.Grid(100.0, 200), _boxes(p), G.sinusoidal)
 
 
+@query(f", {_EDGES}, b AS (SELECT CAST(floor(west / 20000.0::DOUBLE) AS BIGINT) AS x0, CAST(ceil(east / 20000.0::DOUBLE) AS BIGINT) AS x1, CAST(floor(south / 20000.0::DOUBLE) AS BIGINT) AS y0, CAST(ceil(north / 20000.0::DOUBLE) AS BIGINT) AS y1 FROM proj), c AS (SELECT DISTINCT x0 + i AS tx, y0 + j AS ty FROM b, range(0, 20) a(i), range(0, 20) c(j) WHERE x0 + i < x1 AND y0 + j < y1) SELECT tx, ty FROM c WHERE ty * 20000.0 > -3000000 AND (tx, ty) NOT IN (SELECT x * 10, y * 10 FROM obs)", "obs", "aoi_pts")
+def planned_tiles(obs, p):
+    grid = G.Grid(100.0, 200)
+    held = obs.select((F.col("x") * 10).alias("x"), (F.col("y") * 10).alias("y"))
+    return T.plan_tiles(P.candidate_tiles(grid, _boxes(p), G.sinusoidal), held, grid.bounds(F.col("tx"), F.col("ty"))[1] > -3000000)
+
+
 @query("SELECT c_custkey AS part, lon + (i + 0.5::DOUBLE) / 8 * 2 AS lon, lat + (j + 0.5::DOUBLE) / 10 AS lat FROM aoi_pts, range(0, 8) a(i), range(0, 10) b(j)", "aoi_pts")
 def request_sample_points(p):
     boxes = p.select(F.col("c_custkey").alias("part"), F.col("lon").alias("west"), F.col("lat").alias("south"), (F.col("lon") + 2).alias("east"), (F.col("lat") + 1).alias("north"))

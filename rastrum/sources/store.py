@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastrum.functions.views import view
+from rastrum.operators import blobs as B
 from rastrum.operators import tiles as T
 
-CATALOG = ["band", "date", "x", "y", "crs", "west", "south", "east", "north", "cloud_pct", "scene_id", "size_bytes", "acq", "valid_px"]
+CATALOG = ["file", "band", "date", "x", "y", "crs", "west", "south", "east", "north", "cloud_pct", "scene_id", "size_bytes", "acq", "valid_px"]
 SORT = ["band", "date", "x", "y"]
 
 
@@ -22,8 +25,9 @@ def with_partitions(tiles: DataFrame) -> DataFrame:
 
 
 def catalog_of(tiles: DataFrame) -> DataFrame:
-    """What exists, without pixels."""
-    return tiles.select(*CATALOG)
+    """What exists, without pixels, and in which file."""
+    named = tiles if "file" in tiles.columns else tiles.withColumn("file", F.lit(None).cast("string"))
+    return named.select(*CATALOG)
 
 
 def append(tiles: DataFrame, path: str, mode: str = "append") -> None:
@@ -32,13 +36,14 @@ def append(tiles: DataFrame, path: str, mode: str = "append") -> None:
     out.repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT).write.mode(mode).partitionBy("res_group", "ym").option("compression", "zstd").parquet(path)
 
 
-def scan(spark: SparkSession, path: str, date: str | None = None) -> DataFrame:
-    """Stored tiles. A date or its beginning also prunes the months, which the optimizer can't infer."""
-    tiles = spark.read.parquet(path)
+def scan(spark: SparkSession, path: str, date: str | None = None, group: int | None = None, schema=None) -> DataFrame:
+    """Stored tiles with the file that holds each. A date or its beginning also prunes the months, and a group of pixel sizes its folders, which the optimizer can't infer."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    tiles = reader.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
     if date:
         month = F.col("ym") == date[:7] if len(date) >= 7 else F.col("ym").startswith(date)
         tiles = tiles.where(month & T.date_prefix(date))
-    return tiles
+    return tiles if group is None else tiles.where(F.col("res_group") == group)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -46,34 +51,133 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def put_in_place(spark: SparkSession, new: str, target: str) -> None:
-    """A whole directory published by renames; the old one is set aside until the new one is there."""
-    (source, fs), (to, _), (aside, _) = _fs(spark, new), _fs(spark, target), _fs(spark, f"{target}.old")
+def restore(spark: SparkSession, target: str) -> None:
+    """Ends a publication that was cut short: what was set aside comes back where nothing took its place, else it goes."""
+    (to, fs), (aside, _) = _fs(spark, target), _fs(spark, f"{target}.old")
+    if not fs.exists(aside):
+        return
     if fs.exists(to):
         fs.delete(aside, True)
-        fs.rename(to, aside)
-    if not fs.rename(source, to):
-        fs.rename(aside, to)
-        raise OSError(f"{target} can't be replaced")
-    fs.delete(aside, True)
+    elif not fs.rename(aside, to):
+        raise OSError(f"{target} can't be restored")
 
 
-def compact(spark: SparkSession, path: str, ties: tuple[str, ...] = ()) -> None:
-    """All months rewritten with one row for each key and scene, in sorted files."""
-    new = f"{path}.{uuid.uuid4().hex}"
-    append(T.resolve(spark.read.parquet(path), ties).drop("ym", "res_group"), new, "error")
-    put_in_place(spark, new, path)
+def put_in_place(spark: SparkSession, new: str, target: str, tries: int = 5) -> None:
+    """A whole directory published by renames; the old one is set aside until the new one is there. Renames that a file system refuses for a while are tried again."""
+    restore(spark, target)
+    (source, fs), (to, _), (aside, _) = _fs(spark, new), _fs(spark, target), _fs(spark, f"{target}.old")
+    for left in reversed(range(tries)):
+        if fs.exists(to):
+            fs.rename(to, aside)
+        if fs.rename(source, to):
+            fs.delete(aside, True)
+            return
+        restore(spark, target)
+        time.sleep(0.2 if left else 0)
+    raise OSError(f"{target} can't be replaced")
+
+
+_SEAL = "_sealed"
+
+
+def months(spark: SparkSession, path: str) -> list[tuple[str, list[str], bool]]:
+    """(folder, data files, sealed) of each month of a store. A month is sealed while its files are those that its last compaction wrote."""
+    glob, fs = _fs(spark, f"{path}/res_group=*/ym=*")
+    found = []
+    for status in fs.globStatus(glob) or []:
+        folder = status.getPath().toString()
+        if folder.endswith(".old"):
+            continue
+        names = sorted(f.getPath().getName() for f in fs.listStatus(status.getPath()))
+        files = [n for n in names if not n.startswith(("_", "."))]
+        seal, _ = _fs(spark, f"{folder}/{_SEAL}")
+        sealed = fs.exists(seal) and _text(spark, fs, seal).split() == files
+        found.append((folder, files, sealed))
+    return found
+
+
+def _text(spark: SparkSession, fs, path) -> str:
+    stream = fs.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _written(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+class Locked(Exception):
+    """Another process compacts this month."""
+
+
+@contextlib.contextmanager
+def month_lock(spark: SparkSession, folder: str, wait: float = 0.0):
+    """Holds a month for one process; the lock is a file that only one can create. Raises Locked if it stays taken."""
+    p, fs = _fs(spark, folder.replace("/res_group=", "/_locks/").replace("/ym=", "-"))
+    fs.mkdirs(p.getParent())
+    end = time.monotonic() + wait
+    while not fs.createNewFile(p):
+        if time.monotonic() >= end:
+            raise Locked(folder)
+        time.sleep(0.5)
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
+def compact_month(spark: SparkSession, folder: str, ties: tuple[str, ...] = (), smaller: bool = False) -> None:
+    """One month resolved, its split tiles merged where blobs are there (and written anew where that is smaller), sorted and sealed."""
+    with month_lock(spark, folder):
+        restore(spark, folder)
+        rows = T.resolve(spark.read.parquet(folder), ties)
+        if "data" in rows.columns:
+            rows = B.merged(rows)
+            rows = B.reencoded(rows) if smaller else rows
+        new = f"{folder.rsplit('/res_group=', 1)[0]}/_new-{uuid.uuid4().hex}"
+        rows.repartitionByRange(*SORT).sortWithinPartitions(*SORT).write.option("compression", "zstd").parquet(new)
+        p, fs = _fs(spark, new)
+        _written(spark, f"{new}/{_SEAL}", "\n".join(sorted(n for n in (f.getPath().getName() for f in fs.listStatus(p)) if not n.startswith(("_", ".")))))
+        put_in_place(spark, new, folder)
+
+
+def compact(spark: SparkSession, path: str, ties: tuple[str, ...] = (), least_files: int = 1) -> list[str]:
+    """The open months of a store that have least_files files or more, each compacted; months that another process holds stay open. Returns the months sealed."""
+    aside, fs = _fs(spark, f"{path}/res_group=*/ym=*.old")
+    for status in fs.globStatus(aside) or []:
+        restore(spark, status.getPath().toString().removesuffix(".old"))
+    done = []
+    for folder, files, sealed in months(spark, path):
+        if not sealed and len(files) >= least_files:
+            with contextlib.suppress(Locked):
+                compact_month(spark, folder, ties)
+                done.append(folder)
+    return done
+
+
+def read_catalog(spark: SparkSession, catalog: str, schema) -> DataFrame:
+    """The catalog, or an empty frame where none was published yet."""
+    restore(spark, catalog)
+    p, fs = _fs(spark, catalog)
+    return spark.read.schema(schema).parquet(catalog) if fs.exists(p) else spark.createDataFrame([], schema)
 
 
 def rebuild_catalog(spark: SparkSession, path: str, catalog: str) -> DataFrame:
     new = f"{catalog}.{uuid.uuid4().hex}"
-    catalog_of(spark.read.parquet(path)).orderBy("band", "date", F.col("acq").asc_nulls_last(), "crs", "x", "y").write.option("compression", "zstd").parquet(new)
+    catalog_of(scan(spark, path)).orderBy("band", "date", F.col("acq").asc_nulls_last(), "crs", "x", "y").write.option("compression", "zstd").parquet(new)
     put_in_place(spark, new, catalog)
     return spark.read.parquet(catalog)
 
 
 def work_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not (spark.sparkContext.master or "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return f"{found.rstrip('/')}/{uuid.uuid4().hex}" if found else os.path.join(tempfile.mkdtemp(prefix="rastrum-"), "store")
 
 

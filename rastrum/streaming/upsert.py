@@ -8,19 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastrum.operators.raster import newest
-from rastrum.sources.store import put_in_place, work_dir
+from rastrum.sources.store import put_in_place, restore, work_dir
 
 
-def upsert_into(spark: SparkSession, target: str, key: list[str], order: list):
-    """A foreachBatch sink. A final row replaces a preliminary one whenever it comes, so no watermark can drop it; a batch that comes twice changes nothing."""
+def upsert_into(spark: SparkSession, target: str, key: list[str], order: list, month: str = "ym"):
+    """A foreachBatch sink into a folder partitioned by month. A later row of a key and month replaces an earlier one whenever it comes, so no watermark can drop it; a batch that comes twice changes nothing. Only the months of the batch are read and written."""
 
     def sink(batch: DataFrame, _: int) -> None:
+        touched = sorted(r[0] for r in batch.select(month).distinct().collect())  # months: a few hundred at most
         p = spark._jvm.org.apache.hadoop.fs.Path(target)
-        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-            batch = spark.read.schema(batch.schema).parquet(target).unionByName(batch)
+        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+        for m in touched:
+            restore(spark, f"{target}/{month}={m}")
+        rows = batch
+        if fs.exists(p):
+            rows = spark.read.schema(batch.schema).parquet(target).where(F.col(month).isin(touched)).unionByName(batch)
         new = f"{target}.{uuid.uuid4().hex}"
-        newest(batch, key, order).write.parquet(new)
-        put_in_place(spark, new, target)
+        newest(rows, [*key, month], order).write.partitionBy(month).parquet(new)
+        for m in touched:
+            fs.mkdirs(p)
+            put_in_place(spark, f"{new}/{month}={m}", f"{target}/{month}={m}")
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(new), True)
 
     return sink
 
@@ -37,7 +45,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(source).schema
     staged = f"{base}/in"
     spark.read.parquet(source).repartition(4, "event_id").write.parquet(staged)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(staged)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(staged).withColumn("ym", F.date_format("ts", "yyyy-MM"))
     target = f"{base}/tiles"
     run = stream.writeStream.foreachBatch(upsert_into(spark, target, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
     run.awaitTermination()
