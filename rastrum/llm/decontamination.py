@@ -85,12 +85,12 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     of_doc = windows.groupBy("rid").agg(F.collect_set(F.struct("first", "n_words")).alias("wins"))
     texts = rows.join(sized(windows.select("rid").distinct(), windows.count()), "rid", "left_semi").dropDuplicates(["rid"])
     inside = (
-        shingled(texts, "doc_id", "rid").select("doc_id", "rid", "sh").join(of_doc, "rid").select("doc_id", "rid", "sh", F.explode_outer("wins").alias("win"))
-        .select("doc_id", "rid", F.col("win.first").alias("first"), F.col("win.n_words").alias("n_words"), F.explode_outer(F.array_distinct(F.slice("sh", F.col("win.first") + 1, F.col("win.n_words") - (WORDS - 1)))).alias("s"))
-        .join(sized(weights, n_placed), "s", "left").select("doc_id", "rid", "first", "n_words", "s", F.coalesce("w", F.lit(1.0)).alias("w"))
+        shingled(texts, "rid").select("rid", "sh").join(of_doc, "rid").select("rid", "sh", F.explode_outer("wins").alias("win"))
+        .select("rid", F.col("win.first").alias("first"), F.col("win.n_words").alias("n_words"), F.explode_outer(F.array_distinct(F.slice("sh", F.col("win.first") + 1, F.col("win.n_words") - (WORDS - 1)))).alias("s"))
+        .join(sized(weights, n_placed), "s", "left").select("rid", "first", "n_words", "s", F.coalesce("w", F.lit(1.0)).alias("w"))
     )
     inside = cut(inside, "inside")
-    key = ("doc_id", "rid", "first", "n_words")
+    key = ("rid", "first", "n_words")  # ids may be null, which joins would lose
     prints = fingerprint(inside, *key)
     item_shingles = placed.select("item_id", "n_words", "s").distinct().join(sized(weights, n_placed), "s")
     item_prints = fingerprint(item_shingles, "item_id", "n_words").withColumnsRenamed({"fp": "item_fp", "weight": "item_weight"})
@@ -102,7 +102,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     )
     common = inside.join(sized(item_shingles.select("item_id", "n_words", "s"), n_placed), ["n_words", "s"]).groupBy(*key, "item_id").agg(F.sum("w").alias("common"))
     exact = near.join(common, [*key, "item_id"]).withColumn("similarity", F.col("common") / (F.col("weight") + F.col("item_weight") - F.col("common")))
-    return exact.where(F.col("similarity") >= similarity).select("doc_id", "rid", "first", "n_words", "item_id", "similarity")
+    named = windows.select("rid", "doc_id").distinct()
+    return exact.where(F.col("similarity") >= similarity).join(named, "rid").select("doc_id", "rid", "first", "n_words", "item_id", "similarity")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -74,19 +74,29 @@ def id_remainder(column: str, n: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % F.lit(n)
 
 
+def fewest(df: DataFrame, by: str, name: str, most: int) -> DataFrame:
+    """Of each value of `by` at most `most` rows, those with the smallest hashes of a column of distinct values. A hash deals the rows into BUCKETS parts, each with its share of the bound, so no task gets all rows of a value, and a task keeps no more of its own than that."""
+    mixed = F.xxhash64(name, F.lit(77))
+    rank = F.row_number().over(Window.partitionBy(by, "bucket").orderBy("mixed", name))
+    dealt = df.withColumns({"mixed": mixed, "bucket": F.pmod(F.xxhash64(name, F.lit(78)), F.lit(BUCKETS))})
+    return dealt.withColumn("rank", rank).where(F.col("rank") <= -(-most // BUCKETS)).select(by, name)
+
+
+#: Parts of the rows of a label or language, from each of which a share of the teaching rows comes.
+BUCKETS = 16
+
+
 def teaching_rows(rows: DataFrame, most: int, max_chars: int) -> DataFrame:
-    """(text, y) rows for a fit: of each y at most `most` distinct texts of max_chars characters at most, those with the smallest hashes; so the same rows each time, however often a row is repeated. Nothing reaches the driver."""
+    """(text, y) rows for a fit: of each y at most `most` distinct texts of max_chars characters at most, by fewest(); so the same rows each time, however often a row is repeated. Nothing reaches the driver."""
     narrow = rows.where(F.col("text").isNotNull() & (F.length("text") <= max_chars)).select("y", F.xxhash64("text").alias("h")).distinct()
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("h", F.lit(77)), "h"))
-    chosen = narrow.withColumn("rank", rank).where(F.col("rank") <= most).select("y", "h")
+    chosen = fewest(narrow, "y", "h", most)
     return rows.where(F.length("text") <= max_chars).withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["y", "h"]).select("text", "y").dropDuplicates(["y", "text"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """(text, y) of labelled documents. labels: doc_id, y; an id with both labels teaches nothing. Of each label at most 4 * `most` ids, those with the smallest hashes, so this side is small."""
+    """(text, y) of labelled documents. labels: doc_id, y; an id with both labels teaches nothing. Of each label at most 4 * `most` ids by fewest(), so this side is small."""
     one = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z").select("doc_id", "y")
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("doc_id", F.lit(77)), "doc_id"))
-    chosen = one.withColumn("rank", rank).where(F.col("rank") <= 4 * most).select("doc_id", "y")
+    chosen = fewest(one, "y", "doc_id", 4 * most)
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "y")
 
 

@@ -421,3 +421,116 @@ def test_pipeline(spark):
             assert out.columns == columns and 0 < out.count() <= docs.count()
             docs = out
     assert sum(r["length"] for r in out.collect()) == sum(r["doc_tokens"] for r in out.where("start = 0").collect())
+
+
+def test_many_repeated_rows_of_one_id(spark):
+    a, b = passage(70, 91).split(), passage(70, 91).split()
+    b[69] = "other"
+    rows = [(1, " ".join(a))] * 1000 + [(2, " ".join(b))] * 300 + [(2, passage(30, 92)), (None, " ".join(a)), (None, None)]
+    df = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, key int, fp int, component int")
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_jaccard.jaccard_components(df).collect())
+    assert got == Counter({(1, 67, 1): 1000, (2, 67, 1): 300, (2, 27, 2): 1, (None, 67, 1): 1, (None, 0, None): 1})
+    left = Counter((r["doc_id"], r["text"]) for r in ngram_jaccard.keep_one(df).collect())
+    assert left == Counter({(1, " ".join(a)): 1000, (2, passage(30, 92)): 1, (None, None): 1})
+
+
+def test_teaching_rows_are_bounded(spark):
+    from rastrum.llm import shared
+
+    df = spark.createDataFrame([(f"text {i}", i % 2) for i in range(4000)] + [("again", 1)] * 3000 + [(None, 1), ("x" * 50, 0)], "text string, y int")
+    rows = shared.teaching_rows(df, 160, 20)
+    got = Counter(r["y"] for r in rows.collect())
+    assert 140 <= got[0] <= 160 and 140 <= got[1] <= 160 and rows.where("length(text) > 20").isEmpty()
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, shared.teaching_rows(df.repartition(3), 160, 20).collect()))
+
+
+def test_kept_follows_the_rules(docs, labels):
+    df, rows = docs
+    for r in quality_rules.quality_rules(df, labels).collect():
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        assert r["kept"] == (not r["base_failed"] and r["quality"] >= quality_rules.KEEP_AT)
+    held = Counter((r["doc_id"], r["text"]) for r in quality_rules.keep_good(df, labels).collect())
+    verdicts = Counter((r["doc_id"], r["kept"]) for r in quality_rules.quality_rules(df, labels).collect())
+    assert sum(held.values()) == sum(n for (_, kept), n in verdicts.items() if kept)
+
+
+def test_quality_score_against_a_plain_sum():
+    import numpy as np
+    import pyarrow as pa
+
+    from rastrum.llm import kernels as K
+
+    texts = ["Ärger über Öl and some more words", "a", "", "zwei Wörter"]
+    rng = np.random.default_rng(1)
+    model = {"w": rng.standard_normal(4 << quality_rules.BITS).astype(np.float32), "b": 0.3, "a": 1.2, "c": -0.1}
+    buf, offs = K.utf8(pa.array(texts, pa.large_string()))
+    word, row = K.words(buf, offs)
+    got = quality_rules.scores(model, buf, offs, word, row)
+    for i, (t, (slot, share)) in enumerate(zip(texts, quality_rules.features(texts))):
+        assert share.sum() == pytest.approx(sum((len(t) >= 3, len(t) >= 5, len(t.split()) >= 1, len(t.split()) >= 2)), abs=1e-5)
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(1.2 * (float(model["w"][slot] @ share) + 0.3) - 0.1))), abs=1e-4)
+
+
+def test_network_against_a_plain_loop():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    m, h = toxicity.start(), toxicity.HIDDEN
+    for k in ("u", "wa", "va", "wo"):
+        m[k] = rng.standard_normal(np.shape(m[k])).astype(np.float32) * 0.5
+    size = np.array([toxicity.WINDOW, 7])
+    px = rng.standard_normal((2, toxicity.WINDOW, 6 * h)).astype(np.float32) * 0.5
+    both, one = toxicity.forward(m, px, size), [toxicity.forward(m, px[i : i + 1], size[i : i + 1])[0] for i in range(2)]
+    changed = px.copy()
+    changed[1, 7:] = 9.0
+    assert np.allclose(both, one, atol=1e-5) and np.allclose(both, toxicity.forward(m, changed, size), atol=1e-5)
+
+
+def test_decontamination_against_all_windows(spark):
+    import random
+
+    rnd = random.Random(5)
+    items = [(i, passage(rnd.randint(8, 30), 700 + i)) for i in range(6)] + [(6, passage(12, 700)), (7, " ".join(passage(30, 701).split()[:12]))]
+    rows = []
+    for i in range(40):
+        w = rnd.choice(items)[1].split()
+        for _ in range(rnd.randrange(3)):
+            w[rnd.randrange(len(w))] = f"e{rnd.randrange(99)}"
+        rows.append((i, f"{passage(rnd.randint(0, 15), 800 + i)} {' '.join(w)} {passage(rnd.randint(0, 15), 900 + i)}".strip()))
+    rows += [(None, items[2][1]), (90, None), (91, "")]
+    of = lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    own = {i: of(t.split()) for i, t in items if len(t.split()) >= 5}
+    count = Counter(s for v in own.values() for s in v)
+    weight = lambda v: sum(1 / max(count[s], 1) for s in v)
+    want = {}
+    for d, t in rows:
+        w = (t or "").split()
+        for i, v in own.items():
+            n = len(dict(items)[i].split())
+            for j in range(max(1, len(w) - n + 1)):
+                x = of(w[j : j + n])
+                if x and weight(x & v) >= 0.8 * weight(x | v) - 1e-9:
+                    want[d, i] = max(want.get((d, i), 0), weight(x & v) / weight(x | v))
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    clean = decontamination.decontaminated(spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, rid int"), spark.createDataFrame(items, "item_id long, text string"))
+    assert clean.columns == ["doc_id", "text", "rid"] and Counter(r["doc_id"] for r in clean.collect()) == Counter(d for d, _ in rows if not any(k[0] == d for k in want))
+
+
+def test_odd_rows_everywhere(spark, labels):
+    import public_tokenizers as P
+
+    texts = [*ODD, "w " * 500_000, "Some plain words, and more of them.", None]
+    rows = [(None if i % 4 == 0 else i // 2, t) for i, t in enumerate(texts)] * 2
+    wide = ", ".join(f"{c} int" for c in ("key", "id", "h", "ord", "part", "chunk", "data", "rank", "y", "held_out", "bucket", "x"))
+    df = spark.createDataFrame([(i, t, "en", None, 3, *[1] * 12) for i, t in rows], f"doc_id long, text string, lang string, source string, n_chars int, {wide}")
+    bench = spark.createDataFrame([(1, "Some plain words, and more of them."), (None, "x"), (2, None)], "item_id long, text string")
+    n = len(rows)
+    assert toxicity.toxicity(df, labels).count() == language_id.identify(df).count() == quality_rules.quality_rules(df, labels).count() == n
+    assert ngram_jaccard.jaccard_components(df).count() == token_counts.count_tokens(df, P.path("byte_bpe_50k.json")).count() == n
+    assert packing.pack(df, P.path("byte_bpe_50k.json")).where("start = 0").count() == n
+    assert {r["item_id"] for r in decontamination.contaminated(df, bench).collect()} == {1}
+    for stage in (lambda d: ngram_jaccard.keep_one(d), lambda d: substring_dedup.remove_passages(d), lambda d: decontamination.decontaminated(d, bench), lambda d: quality_rules.keep_good(d, labels)):
+        for frame in (df, df.limit(0)):
+            out = stage(frame)
+            assert out.columns == df.columns and out.count() <= n
