@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 U = np.uint64
 #: Documents of a chunk at most (bits), and keys after which it is closed.
-OWNER_BITS, CHUNK_KEYS = 20, 1 << 20
+OWNER_BITS, CHUNK_KEYS = 20, 1 << 18
 #: Bytes of input for a part of the key space: some 10 MB of packed keys.
 PART_BYTES = 16 << 20
 LOCAL, OTHER = -1, -2
