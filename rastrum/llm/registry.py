@@ -15,6 +15,9 @@ _MODULES = {
     "op6_quality_rules": "quality_rules",
     "op7_token_counts": "token_counts",
     "op10_packing": "packing",
+    "op11_hard_negatives": "hard_negatives",
+    "op12_periodic_runs": "periodic_runs",
+    "op13_quality_classifier": "quality_classifier",
 }
 
 
