@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+from functools import reduce
+from operator import and_
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rastrum.operators.tiles import checked_matches
@@ -12,13 +16,16 @@ from rastrum.sources import codec
 
 #: Columns of a stored tile that name it, and those that merging makes anew.
 KEY = ["band", "date", "x", "y", "crs", "acq"]
+#: Split keys that are sent to all executors at most (some 10 MB).
+FEW = 100_000
 MADE = ["scene_id", "valid_px", "cloud_pct", "fetched_at", "size_bytes", "data"]
 
 
 def observed(a: np.ndarray, nodata: float | None) -> np.ndarray:
-    """Places with a look: not nodata, and a number."""
-    seen = ~np.isnan(a) if a.dtype.kind == "f" else np.ones(a.shape, bool)
-    return seen if nodata is None or np.isnan(nodata) else seen & (a != a.dtype.type(nodata))
+    """Places with a look: all without nodata, those that are numbers where nodata is NaN, else those that aren't nodata (a NaN is a look then)."""
+    if nodata is None:
+        return np.ones(a.shape, bool)
+    return ~np.isnan(a) if np.isnan(nodata) else a != a.dtype.type(nodata)
 
 
 def filled(arrays: list[np.ndarray], nodata: float | None) -> np.ndarray:
@@ -37,31 +44,45 @@ def read_tiles(catalog: DataFrame, stored: DataFrame, keys: list[str]) -> DataFr
     return checked_matches(catalog, stored.select(*keys, "data"), keys)
 
 
+def merged_parts(rows: list[dict]) -> dict | None:
+    """One row of the parts of a tile: pixels of the fullest part first (ties: the smaller scene), the others fill what is empty. Scenes are joined, the cloud is weighted by the pixels each part gives, the time is the newest. A blob to which nothing was added stays as it is; reference system, scale and offset stay anyway. None for parts of different size or type, or that can't be read."""
+    try:
+        tiles = [codec.read(r["data"]) for r in rows]
+    except codec.TileError:
+        return None
+    if len({t.kind for t in tiles}) > 1:
+        return None
+    seen = [observed(t.px, t.nodata) for t in tiles]
+    order = sorted(range(len(rows)), key=lambda i: (-int(seen[i].sum()), rows[i]["scene_id"] or ""))
+    first = order[0]
+    px, known, given = tiles[first].px.copy(), seen[first].copy(), [int(seen[first].sum())]
+    for i in order[1:]:
+        take = seen[i] & ~known
+        px[take] = tiles[i].px[take]
+        known |= take
+        given.append(int(take.sum()))
+    clouds = [(rows[i]["cloud_pct"], n) for i, n in zip(order, given) if rows[i]["cloud_pct"] is not None and n]
+    scenes = sorted({s for r in rows for s in (r["scene_id"] or "").split("|") if s})
+    data = codec.write(replace(tiles[first], px=px)) if any(given[1:]) else rows[first]["data"]
+    return rows[first] | {
+        "scene_id": "|".join(scenes) or None, "valid_px": sum(given), "cloud_pct": round(sum(c * n for c, n in clouds) / sum(n for _, n in clouds), 2) if clouds else None,
+        "fetched_at": max(r["fetched_at"] for r in rows), "size_bytes": len(data), "data": data,
+    }
+
+
 def merged(rows: DataFrame) -> DataFrame:
-    """Stored rows (KEY, MADE and any other columns, which come from the fullest part) with one for each key whose parts come from several scenes of an acquisition: pixels of the fullest part first (ties: scene), then of the others; scenes joined, valid pixels counted, cloud weighted by valid pixels, newest time. Parts that do not fit (size, type, nodata) stay as they are."""
-    own = rows.withColumn("_n", F.count("*").over(Window.partitionBy(*KEY)))
-    alone = own.where("_n = 1 or acq is null").drop("_n")
+    """Stored rows (KEY, MADE and any other columns, which come from the fullest part) with one for each key whose parts come from several scenes of an acquisition, by merged_parts(); parts that don't fit stay as they are. Split keys are found without reading blobs, and only their rows are shuffled; where they are few, which is checked, the others are not even joined by a shuffle."""
+    split = rows.where("acq is not null").groupBy(*KEY).agg(F.count("*").alias("_n")).where("_n > 1").select(*(F.col(c).alias(f"_{c}") for c in KEY))
+    few = split.limit(FEW + 1).count() <= FEW
+    split = F.broadcast(split) if few else split
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEY))
 
     def run(t: pa.Table) -> pa.Table:
-        r = t.to_pylist()
-        parts = [codec.decode(x["data"]) for x in r]
-        if len({(a.shape, a.dtype.str, repr(nodata), place) for a, nodata, place in parts}) > 1:
-            return t
-        nodata, place = parts[0][1], parts[0][2]
-        order = sorted(range(len(r)), key=lambda i: (-int(observed(parts[i][0], nodata).sum()), r[i]["scene_id"] or ""))
-        a = filled([parts[i][0] for i in order], nodata)
-        known = [x for x in r if x["cloud_pct"] is not None and x["valid_px"]]
-        weight = sum(x["valid_px"] for x in known)
-        scenes = sorted({s for x in r for s in (x["scene_id"] or "").split("|") if s})
-        data = codec.encode(a, nodata, *place)
-        one = r[order[0]] | {
-            "scene_id": "|".join(scenes) or None, "valid_px": int(observed(a, nodata).sum()), "cloud_pct": round(sum(x["cloud_pct"] * x["valid_px"] for x in known) / weight, 2) if weight else None,
-            "fetched_at": max(x["fetched_at"] for x in r), "size_bytes": len(data), "data": data,
-        }
-        return pa.Table.from_pylist([one], schema=t.schema)
-
-    split = own.where("_n > 1 and acq is not null").drop("_n")
-    return alone.unionByName(split.groupBy(*KEY).applyInArrow(run, rows.schema))
+        one = merged_parts(t.to_pylist())
+        return t if one is None else pa.Table.from_pylist([one], schema=t.schema)
+
+    alone, parts = rows.join(split, same, "left_anti"), rows.join(split, same, "left_semi")
+    return alone.unionByName(parts.groupBy(*KEY).applyInArrow(run, rows.schema))
 
 
 def mosaic(tiles: DataFrame, edge: int, ring: list[tuple[float, float]] | None = None) -> DataFrame:
@@ -108,20 +129,23 @@ def series(tiles: DataFrame, row: int, col: int) -> DataFrame:
 
 
 def reencoded(rows: DataFrame) -> DataFrame:
-    """Rows whose blob is written anew where that makes it smaller; pixels, nodata and place stay."""
+    """Rows whose blob is written anew where that makes it smaller; pixels and all that the tile says of itself stay. A blob that can't be read stays as it is."""
+
+    def smaller(blob: bytes) -> bytes:
+        try:
+            return min(blob, codec.write(codec.read(blob)), key=len)
+        except codec.TileError:
+            return blob
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("data")
-            data = [b.as_py() for b in batch.column(at)]
-            for i, blob in enumerate(data):
-                a, nodata, place = codec.decode(blob)
-                new = codec.encode(a, nodata, *place)
-                data[i] = min(blob, new, key=len)
+            data = [None if (blob := b.as_py()) is None else smaller(blob) for b in batch.column(at)]
             columns = list(batch.columns)
             columns[at] = pa.array(data, pa.binary())
             if "size_bytes" in batch.schema.names:
-                columns[batch.schema.get_field_index("size_bytes")] = pa.array([len(b) for b in data], pa.int64())
+                size = batch.schema.get_field_index("size_bytes")
+                columns[size] = pa.array([None if b is None else len(b) for b in data], batch.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return rows.mapInArrow(run, rows.schema)

@@ -12,7 +12,6 @@ from rastrum.functions.views import duck, view
 from rastrum.operators import raster as R
 from rastrum.operators import tiles as T
 from rastrum.sources import store
-from rastrum.streaming import upsert
 
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
@@ -34,6 +33,19 @@ def query(sql: str | None, *views: str, name: str | None = None):
     return register
 
 
+def query_of(sql: str | None, *views: str, name: str | None = None):
+    """Registers a function of the session and the tables' folder."""
+
+    def register(f):
+        key = name or f.__name__
+        _QUERIES[key] = f
+        if sql:
+            _SQL[key] = f"{duck(*views)} {sql}" if views else sql
+        return f
+
+    return register
+
+
 def _bbox_sql(w, s, e, n):
     return f"north > {s} AND south < {n} AND CASE WHEN west <= east THEN east > {w} AND west < {e} ELSE east > {w} OR west < {e} END"
 
@@ -420,6 +432,9 @@ def accum_diff(s):
     return s.select("event_id", "band", (F.col("cents") - F.coalesce(F.lag("cents").over(w), F.lit(0))).alias("step"))
 
 
+query_of(f", early AS (SELECT * FROM obs WHERE l_linenumber <= 5), {_RESOLVED.replace('FROM obs)', 'FROM early)')}, now AS (SELECT date, band, cloud_pct FROM resolved UNION ALL SELECT date, band, cloud_pct FROM obs WHERE l_linenumber > 5) {_COVER.format('true').replace('FROM obs', 'FROM now')}", "obs", name="catalog_publish")(store.publish_query)
+
+
 # Not expressible in SQL.
 def _codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rastrum.sources import codec
@@ -436,12 +451,12 @@ def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    from rastrum.plans import scalars, stored  # noqa: F401  they register their own
+    from rastrum.plans import scalars, stored, streams  # noqa: F401  they register their own
 
-    return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec, "stream_upsert": upsert.query, "catalog_publish": store.publish_query}
+    return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec}
 
 
 def oracle_sql() -> dict[str, str]:
-    from rastrum.plans import scalars, stored  # noqa: F401
+    from rastrum.plans import scalars, stored, streams  # noqa: F401
 
     return dict(_SQL)

@@ -59,11 +59,14 @@ def series_of_store(px):
 
 
 _PARTS = f"{_T}, s AS (SELECT tile_id, vec_id, scene_id, cloud, count(*) FILTER (dn <> -9999) AS n FROM t GROUP BY ALL)"
+# A part's cloud weighs by the pixels that it gives, not by those that it has.
 
 
 @query(f""", {_PARTS}, u AS (SELECT t.*, row_number() OVER (PARTITION BY t.tile_id, t.pos ORDER BY s.n DESC, s.scene_id) AS k FROM t JOIN s USING (vec_id)),
-  m AS (SELECT tile_id, pos, coalesce(arg_min(dn, k) FILTER (dn <> -9999), -9999) AS dn FROM u GROUP BY ALL),
-  c AS (SELECT tile_id, string_agg(scene_id, '|' ORDER BY scene_id) AS scenes, max(vec_id) AS fetched_at, round(sum(cloud * n) / sum(n) FILTER (cloud IS NOT NULL), 2) AS cloud_pct FROM s GROUP BY tile_id)
+  m AS (SELECT tile_id, pos, coalesce(arg_min(dn, k) FILTER (dn <> -9999), -9999) AS dn, min(k) FILTER (dn <> -9999) AS k FROM u GROUP BY ALL),
+  w AS (SELECT tile_id, k, count(*) AS n FROM m WHERE k IS NOT NULL GROUP BY ALL), o AS (SELECT DISTINCT tile_id, k, cloud FROM u),
+  h AS (SELECT tile_id, round_even(sum(cloud * n) / sum(n) FILTER (cloud IS NOT NULL), 2) AS cloud_pct FROM w JOIN o USING (tile_id, k) GROUP BY tile_id),
+  c AS (SELECT tile_id, string_agg(scene_id, '|' ORDER BY scene_id) AS scenes, max(vec_id) AS fetched_at, cloud_pct FROM s LEFT JOIN h USING (tile_id) GROUP BY tile_id, cloud_pct)
   SELECT tile_id, scenes, fetched_at, cloud_pct, CAST(count(*) FILTER (dn <> -9999) AS BIGINT) AS valid_px, CAST(sum(dn * (pos + 1)) AS BIGINT) AS digest FROM m JOIN c USING (tile_id) GROUP BY ALL""", "px")
 def merged_of_store(px):
     m = codec.decode_tiles(B.merged(stored(px)))

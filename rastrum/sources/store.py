@@ -1,12 +1,14 @@
-"""Tile store on Parquet: partitions, sorted appends, compaction, catalog."""
+"""Tile store on Parquet: partitions, sorted appends, compaction, catalog. What is stored is said by a commit log (manifest)."""
 
 from __future__ import annotations
 
 import contextlib
+import json
 import os
 import tempfile
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,12 @@ from pyspark.sql import functions as F
 from rastrum.functions.views import view
 from rastrum.operators import blobs as B
 from rastrum.operators import tiles as T
+from rastrum.sources.manifest import Conflict, Log, Version
 
 CATALOG = ["file", "band", "date", "x", "y", "crs", "west", "south", "east", "north", "cloud_pct", "scene_id", "size_bytes", "acq", "valid_px"]
 SORT = ["band", "date", "x", "y"]
+#: Seconds after which a lock counts as left behind by a process that died.
+LOCK_S = 600.0
 
 
 def with_partitions(tiles: DataFrame) -> DataFrame:
@@ -30,85 +35,34 @@ def catalog_of(tiles: DataFrame) -> DataFrame:
     return named.select(*CATALOG)
 
 
-def append(tiles: DataFrame, path: str, mode: str = "append") -> None:
-    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place."""
+def append(tiles: DataFrame, path: str, compact_above: int | None = None, ties: tuple[str, ...] = ()) -> list[str]:
+    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place. Other writers may append or compact meanwhile. compact_above: months of more appends than this are compacted. Returns the months (folders) written."""
     out = with_partitions(tiles)
-    out.repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT).write.mode(mode).partitionBy("res_group", "ym").option("compression", "zstd").parquet(path)
+    rows = out.repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT)
+    log = Log(tiles.sparkSession, path)
+    written = log.append(rows)
+    crowded = [f for f, v in written.items() if compact_above is not None and v.batches > compact_above]
+    if crowded:
+        compact_months(tiles.sparkSession, path, crowded, ties)
+    return sorted(written)
 
 
-def scan(spark: SparkSession, path: str, date: str | None = None, group: int | None = None, schema=None) -> DataFrame:
-    """Stored tiles with the file that holds each. A date or its beginning also prunes the months, and a group of pixel sizes its folders, which the optimizer can't infer."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    tiles = reader.parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
-    if date:
-        month = F.col("ym") == date[:7] if len(date) >= 7 else F.col("ym").startswith(date)
-        tiles = tiles.where(month & T.date_prefix(date))
-    return tiles if group is None else tiles.where(F.col("res_group") == group)
-
-
-def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def restore(spark: SparkSession, target: str) -> None:
-    """Ends a publication that was cut short: what was set aside comes back where nothing took its place, else it goes."""
-    (to, fs), (aside, _) = _fs(spark, target), _fs(spark, f"{target}.old")
-    if not fs.exists(aside):
-        return
-    if fs.exists(to):
-        fs.delete(aside, True)
-    elif not fs.rename(aside, to):
-        raise OSError(f"{target} can't be restored")
-
-
-def put_in_place(spark: SparkSession, new: str, target: str, tries: int = 5) -> None:
-    """A whole directory published by renames; the old one is set aside until the new one is there. Renames that a file system refuses for a while are tried again."""
-    restore(spark, target)
-    (source, fs), (to, _), (aside, _) = _fs(spark, new), _fs(spark, target), _fs(spark, f"{target}.old")
-    for left in reversed(range(tries)):
-        if fs.exists(to):
-            fs.rename(to, aside)
-        if fs.rename(source, to):
-            fs.delete(aside, True)
-            return
-        restore(spark, target)
-        time.sleep(0.2 if left else 0)
-    raise OSError(f"{target} can't be replaced")
-
-
-_SEAL = "_sealed"
-
-
-def months(spark: SparkSession, path: str) -> list[tuple[str, list[str], bool]]:
-    """(folder, data files, sealed) of each month of a store. A month is sealed while its files are those that its last compaction wrote."""
-    glob, fs = _fs(spark, f"{path}/res_group=*/ym=*")
+def chosen(log: Log, date: str | None = None, group: int | None = None) -> dict[str, Version]:
+    """Newest versions of the months that a date or its beginning, and a group of pixel sizes, may have rows in; no other manifest is read."""
     found = []
-    for status in fs.globStatus(glob) or []:
-        folder = status.getPath().toString()
-        if folder.endswith(".old"):
-            continue
-        names = sorted(f.getPath().getName() for f in fs.listStatus(status.getPath()))
-        files = [n for n in names if not n.startswith(("_", "."))]
-        seal, _ = _fs(spark, f"{folder}/{_SEAL}")
-        sealed = fs.exists(seal) and _text(spark, fs, seal).split() == files
-        found.append((folder, files, sealed))
-    return found
-
-
-def _text(spark: SparkSession, fs, path) -> str:
-    stream = fs.open(path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
+    for folder in log.folders():
+        own = dict(p.split("=", 1) for p in folder.split("/"))
+        month_ok = not date or (own["ym"] == date[:7] if len(date) >= 7 else own["ym"].startswith(date))
+        if month_ok and (group is None or own["res_group"] == str(group)):
+            found.append(folder)
+    return log.versions(found)
 
 
-def _written(spark: SparkSession, path: str, text: str) -> None:
-    p, fs = _fs(spark, path)
-    out = fs.create(p, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+def scan(spark: SparkSession, path: str, date: str | None = None, group: int | None = None, schema=None) -> DataFrame:
+    """Stored tiles, as the newest manifests have them, with the file that holds each. A date or its beginning, and a group of pixel sizes, leave out the other months' files before Spark sees them."""
+    log = Log(spark, path)
+    tiles = log.read(chosen(log, date, group), schema)
+    return tiles.where(T.date_prefix(date)) if date else tiles
 
 
 class Locked(Exception):
@@ -116,62 +70,104 @@ class Locked(Exception):
 
 
 @contextlib.contextmanager
-def month_lock(spark: SparkSession, folder: str, wait: float = 0.0):
-    """Holds a month for one process; the lock is a file that only one can create. Raises Locked if it stays taken."""
-    p, fs = _fs(spark, folder.replace("/res_group=", "/_locks/").replace("/ym=", "-"))
-    fs.mkdirs(p.getParent())
+def month_lock(log: Log, folder: str, wait: float = 0.0, hold: float = LOCK_S):
+    """Holds a month for one process, so that no two do the same work; results don't depend on it, the manifest sees to those. A lock names the time it ends, so that of a dead process does. Raises Locked if it stays taken."""
+    name, own = f"_locks/{folder.replace('/', '-')}", uuid.uuid4().hex
+    p, fs = log._path(name), log._fs
     end = time.monotonic() + wait
-    while not fs.createNewFile(p):
+    while not log.put_new(name, json.dumps({"owner": own, "until": time.time() + hold})):
+        with contextlib.suppress(Exception):  # it may go while it is read
+            if json.loads(log._text(name))["until"] < time.time():
+                fs.delete(p, False)
+                continue
         if time.monotonic() >= end:
             raise Locked(folder)
-        time.sleep(0.5)
+        time.sleep(0.2)
     try:
         yield
     finally:
-        fs.delete(p, False)
-
-
-def compact_month(spark: SparkSession, folder: str, ties: tuple[str, ...] = (), smaller: bool = False) -> None:
-    """One month resolved, its split tiles merged where blobs are there (and written anew where that is smaller), sorted and sealed."""
-    with month_lock(spark, folder):
-        restore(spark, folder)
-        rows = T.resolve(spark.read.parquet(folder), ties)
-        if "data" in rows.columns:
-            rows = B.merged(rows)
-            rows = B.reencoded(rows) if smaller else rows
-        new = f"{folder.rsplit('/res_group=', 1)[0]}/_new-{uuid.uuid4().hex}"
-        rows.repartitionByRange(*SORT).sortWithinPartitions(*SORT).write.option("compression", "zstd").parquet(new)
-        p, fs = _fs(spark, new)
-        _written(spark, f"{new}/{_SEAL}", "\n".join(sorted(n for n in (f.getPath().getName() for f in fs.listStatus(p)) if not n.startswith(("_", ".")))))
-        put_in_place(spark, new, folder)
-
-
-def compact(spark: SparkSession, path: str, ties: tuple[str, ...] = (), least_files: int = 1) -> list[str]:
-    """The open months of a store that have least_files files or more, each compacted; months that another process holds stay open. Returns the months sealed."""
-    aside, fs = _fs(spark, f"{path}/res_group=*/ym=*.old")
-    for status in fs.globStatus(aside) or []:
-        restore(spark, status.getPath().toString().removesuffix(".old"))
-    done = []
-    for folder, files, sealed in months(spark, path):
-        if not sealed and len(files) >= least_files:
-            with contextlib.suppress(Locked):
-                compact_month(spark, folder, ties)
-                done.append(folder)
-    return done
-
-
-def read_catalog(spark: SparkSession, catalog: str, schema) -> DataFrame:
-    """The catalog, or an empty frame where none was published yet."""
-    restore(spark, catalog)
-    p, fs = _fs(spark, catalog)
-    return spark.read.schema(schema).parquet(catalog) if fs.exists(p) else spark.createDataFrame([], schema)
+        with contextlib.suppress(Exception):
+            if json.loads(log._text(name))["owner"] == own:
+                fs.delete(p, False)
+
+
+@dataclass(frozen=True)
+class Compacted:
+    """What a compaction did: files and bytes before and after, and whether the month is sealed (nothing was appended meanwhile)."""
+
+    folder: str
+    files_before: int
+    files_after: int
+    bytes_before: int
+    bytes_after: int
+    sealed: bool
+
+
+def compact_months(spark: SparkSession, path: str, folders: list[str], ties: tuple[str, ...] = (), smaller: bool = False, tries: int = 3) -> tuple[list[Compacted], list[str]]:
+    """Months resolved, their split tiles merged where blobs are there (and all written anew where that is smaller), sorted and sealed: one job for all of them, then a commit for each. Only the files it has read are replaced; rows appended meanwhile stay beside the result, and leave that month open. Returns what was done, and the months that other processes held, or kept replacing."""
+    log, done, left = Log(spark, path), [], []
+    with contextlib.ExitStack() as locks:
+        todo = []
+        for folder in folders:
+            try:
+                locks.enter_context(month_lock(log, folder))
+                todo.append(folder)
+            except Locked:
+                left.append(folder)
+        for _ in range(tries):
+            old = {f: v for f, v in log.versions(todo).items() if v.files and (smaller or not v.sealed)}
+            todo = []
+            if not old:
+                break
+            rows = T.resolve(log.read(old).drop("file"), ties)
+            if "data" in rows.columns:
+                rows = B.merged(rows)
+                rows = B.reencoded(rows) if smaller else rows
+            by = [*log.by, *SORT]
+            made = log.write(rows.repartitionByRange(*by).sortWithinPartitions(*by))
+
+            def put(folder: str) -> Compacted | None:
+                try:
+                    new = log.replace(folder, old[folder], made.get(folder, []))
+                except Conflict:
+                    return None
+                before, after = old[folder].files, made.get(folder, [])
+                return Compacted(folder, len(before), len(after), sum(f.size for f in before), sum(f.size for f in after), new.sealed)
+
+            for folder, one in log.each(put, list(old)).items():
+                (done if one else todo).append(one or folder)
+    return done, left + todo
+
+
+def open_months(spark: SparkSession, path: str) -> list[str]:
+    """Months with appends since their last compaction."""
+    return [f for f, v in Log(spark, path).versions().items() if v.files and not v.sealed]
+
+
+def compact(spark: SparkSession, path: str, ties: tuple[str, ...] = (), least_batches: int = 1, smaller: bool = False) -> tuple[list[Compacted], list[str]]:
+    """The open months of least_batches appends or more compacted (smaller: all months, blobs written anew). Returns what was done, and the months left open because another process holds them."""
+    found = {f: v for f, v in Log(spark, path).versions().items() if v.files and (smaller or not v.sealed)}
+    return compact_months(spark, path, [f for f, v in found.items() if v.batches >= least_batches], ties, smaller)
+
+
+def read_catalog(spark: SparkSession, catalog: str, schema=None) -> DataFrame:
+    """The newest catalog; where none was published yet an empty frame of the schema."""
+    log = Log(spark, catalog, ("part",))
+    now = log.latest("part=all")
+    if not now.files and schema is not None:
+        return spark.createDataFrame([], schema)
+    return log.read({"part=all": now}).drop("part", "file").withColumnRenamed("_file", "file")
 
 
 def rebuild_catalog(spark: SparkSession, path: str, catalog: str) -> DataFrame:
-    new = f"{catalog}.{uuid.uuid4().hex}"
-    catalog_of(scan(spark, path)).orderBy("band", "date", F.col("acq").asc_nulls_last(), "crs", "x", "y").write.option("compression", "zstd").parquet(new)
-    put_in_place(spark, new, catalog)
-    return spark.read.parquet(catalog)
+    """The catalog of what is stored, published as one version: readers have the old one until then."""
+    rows = catalog_of(scan(spark, path)).withColumnRenamed("file", "_file").withColumn("part", F.lit("all"))
+    log = Log(spark, catalog, ("part",))
+    made = log.write(rows.repartitionByRange("band", "date").sortWithinPartitions("band", "date", F.col("acq").asc_nulls_last(), "crs", "x", "y"))
+    while True:
+        with contextlib.suppress(Conflict):  # another one was published: this one is newer
+            log.replace("part=all", log.latest("part=all"), made.get("part=all", []))
+            return read_catalog(spark, catalog)
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -181,11 +177,15 @@ def work_dir(spark: SparkSession) -> str:
     return f"{found.rstrip('/')}/{uuid.uuid4().hex}" if found else os.path.join(tempfile.mkdtemp(prefix="rastrum-"), "store")
 
 
+TIES = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
 def publish_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends, compaction, catalog: the coverage of what is published."""
+    """Two appends, compaction, a third append that stays open, catalog: the coverage of what is published."""
     path = work_dir(spark)
     obs = view(spark, sf_dir, "obs")
     append(obs.where("l_linenumber <= 3"), f"{path}/tiles")
-    append(obs.where("l_linenumber > 3"), f"{path}/tiles")
-    compact(spark, f"{path}/tiles", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+    append(obs.where("l_linenumber between 4 and 5"), f"{path}/tiles")
+    compact(spark, f"{path}/tiles", TIES)
+    append(obs.where("l_linenumber > 5"), f"{path}/tiles")
     return T.coverage(rebuild_catalog(spark, f"{path}/tiles", f"{path}/catalog"))

@@ -1,36 +1,58 @@
-"""Incremental ingest as micro-batches: later rows replace earlier ones of their key; windowed sums of event streams."""
+"""Incremental ingest as micro-batches: later rows replace earlier ones of their key, in whatever month those are; windowed sums of event streams."""
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastrum.operators.raster import newest
-from rastrum.sources.store import put_in_place, restore, work_dir
+from rastrum.sources.manifest import Conflict, Log
+from rastrum.sources.store import work_dir
+from rastrum.streaming.staging import drained, file_stream, staged
 
 
 def upsert_into(spark: SparkSession, target: str, key: list[str], order: list, month: str = "ym"):
-    """A foreachBatch sink into a folder partitioned by month. A later row of a key and month replaces an earlier one whenever it comes, so no watermark can drop it; a batch that comes twice changes nothing. Only the months of the batch are read and written."""
+    """A foreachBatch sink into a table of month folders with a commit log. Of each key the first row by `order` stays, over all months: where a later row lies in another month, the earlier one leaves its own. A late row still counts, so no watermark may drop it; a batch that comes twice changes nothing. Only months that gain or lose a row are written anew; those that gain are committed first, so a reader between two commits may see a key twice, never not at all."""
+    log = Log(spark, target, (month,))
 
     def sink(batch: DataFrame, _: int) -> None:
-        touched = sorted(r[0] for r in batch.select(month).distinct().collect())  # months: a few hundred at most
-        p = spark._jvm.org.apache.hadoop.fs.Path(target)
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        for m in touched:
-            restore(spark, f"{target}/{month}={m}")
-        rows = batch
-        if fs.exists(p):
-            rows = spark.read.schema(batch.schema).parquet(target).where(F.col(month).isin(touched)).unionByName(batch)
-        new = f"{target}.{uuid.uuid4().hex}"
-        newest(rows, [*key, month], order).write.partitionBy(month).parquet(new)
-        for m in touched:
-            fs.mkdirs(p)
-            put_in_place(spark, f"{new}/{month}={m}", f"{target}/{month}={m}")
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(new), True)
-
-    return sink
+        batch = newest(batch, key, order).persist()
+        try:
+            gains = {f"{month}={r[0]}" for r in batch.select(month).distinct().collect()}  # months: a few hundred at most
+            old = log.versions()
+            held = gains
+            if any(v.files for v in old.values()):
+                same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key))
+                there = log.read(old, batch.schema).join(batch.select(*(F.col(c).alias(f"_{c}") for c in key)), same, "left_semi")
+                held = gains | {f"{month}={r[0]}" for r in there.select(month).distinct().collect()}
+            touched = {folder: v for folder, v in old.items() if folder in held}
+            both = batch
+            if any(v.files for v in touched.values()):
+                both = log.read(touched, batch.schema).select(*batch.columns).unionByName(batch)
+            made = log.write(newest(both, key, order))
+            for folder in sorted(held, key=lambda f: (f not in gains, f)):
+                log.replace(folder, old.get(folder) or log.latest(folder), made.get(folder, []))
+        finally:
+            batch.unpersist()
+
+    def safe(batch: DataFrame, number: int) -> None:
+        for left in reversed(range(5)):
+            try:
+                return sink(batch, number)
+            except Conflict:  # another stream wrote one of the months
+                if not left:
+                    raise
+
+    return safe
+
+
+def current(spark: SparkSession, target: str, schema, month: str = "ym") -> DataFrame:
+    """What an upserted table holds now."""
+    log = Log(spark, target, (month,))
+    return log.read(log.versions(), schema)
 
 
 def rates(events: DataFrame, late: str = "1 hour") -> DataFrame:
@@ -38,15 +60,29 @@ def rates(events: DataFrame, late: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", late).groupBy("event_type", F.window("ts", "15 minutes")).agg(F.count("*").alias("n"), F.sum(F.round(F.col("value") * 100).cast("long")).alias("cents"))
 
 
+def by_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with every other user's moved on by a month for each type, so that keys come in several months."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    moved = F.col("ts") + F.make_interval(months=F.pmod(F.col("event_id"), F.lit(3)).cast("int") * F.pmod(F.col("user_id"), F.lit(2)).cast("int"))
+    return events.withColumn("ts", moved).withColumn("ym", F.date_format("ts", "yyyy-MM"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as a file stream, upserted by user and type: the newest of each."""
+    """The events of some months as a file stream in no order of time, upserted by user and type: the newest of each."""
     base = work_dir(spark)
-    source = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(source).schema
-    staged = f"{base}/in"
-    spark.read.parquet(source).repartition(4, "event_id").write.parquet(staged)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(staged).withColumn("ym", F.date_format("ts", "yyyy-MM"))
+    rows = by_months(spark, sf_dir)
+    staged(rows, f"{base}/in", F.pmod(F.xxhash64("event_id"), F.lit(4)), 4)
+    stream = file_stream(spark, f"{base}/in", rows.schema, files=2)
     target = f"{base}/tiles"
-    run = stream.writeStream.foreachBatch(upsert_into(spark, target, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
-    run.awaitTermination()
-    return spark.read.schema(schema).parquet(target).select("event_id", "user_id", "event_type", "ts")
+    drained(stream.writeStream.foreachBatch(upsert_into(spark, target, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])), f"{base}/checkpoint")
+    return current(spark, target, rows.schema).select("event_id", "user_id", "event_type", "ts", "ym")
+
+
+def rates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """15-minute sums of the events as a stream in order of time."""
+    base = work_dir(spark)
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
+    tick = spark.createDataFrame([(None, "tick", None, None)], events.schema).withColumn("ts", F.expr("timestamp'2100-01-01 00:00:00'"))
+    staged(events, f"{base}/in", F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), 4, tick)
+    drained(rates(file_stream(spark, f"{base}/in", events.schema)).writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out").select(F.col("event_type").alias("band"), F.col("window.start").cast("timestamp_ntz").alias("t"), "n", "cents")

@@ -123,36 +123,3 @@ def test_required_fields_are_named(spark):
     df = spark.createDataFrame([("s1", None)], "id string, orbit string")
     with pytest.raises(Exception, match="s1 has no 'orbit'"):
         df.select(S.required(F.col("orbit"), F.col("id"), "orbit")).collect()
-
-
-def test_months_are_compacted_sealed_and_restored(spark, tmp_path):
-    from rastrum.operators import blobs as B
-    from rastrum.sources import store
-
-    def tile(scene, x, month, values, cloud, at):
-        a = np.full((4, 4), -1, "i2")
-        a.flat[: len(values)] = values
-        return ("B", f"2024-{month}-01", x, 0, "EPSG:32636", 10.0, 4, 0.0, 0.0, 1.0, 1.0, cloud, scene, 0, at, "orbit", len(values), codec.encode(a, -1))
-
-    schema = "band string, date string, x long, y long, crs string, res double, tile_px int, west double, south double, east double, north double, cloud_pct double, scene_id string, size_bytes long, fetched_at long, acq string, valid_px int, data binary"
-    put = lambda *rows: store.append(spark.createDataFrame(list(rows), schema), path)
-    path = f"file://{tmp_path}/tiles"
-    put(tile("s1", 1, "06", [5] * 3, 10.0, 1), tile("s1", 1, "07", [7] * 3, None, 1))
-    put(tile("s2", 1, "06", [9] * 10, 30.0, 2), tile("s1", 1, "06", [6] * 3, 10.0, 3))
-    assert len(store.compact(spark, path)) == 2 and store.compact(spark, path) == []
-    rows = store.scan(spark, path, "2024-06").collect()
-    assert len(rows) == 1 and (rows[0]["scene_id"], rows[0]["valid_px"], rows[0]["cloud_pct"], rows[0]["fetched_at"]) == ("s1|s2", 10, 25.38, 3) and rows[0]["file"].endswith(".parquet")
-    assert codec.decode(rows[0]["data"])[0].ravel().tolist() == [9] * 10 + [-1] * 6
-    put(tile("s3", 2, "07", [1], None, 5))
-    folder = next(f for f, _, sealed in store.months(spark, path) if not sealed)
-    with store.month_lock(spark, folder), pytest.raises(store.Locked):
-        store.compact_month(spark, folder)
-    with store.month_lock(spark, folder):
-        assert store.compact(spark, path) == []
-    # A publication cut between its renames: what was set aside comes back.
-    local = folder.removeprefix("file:")
-    __import__("os").rename(local, f"{local}.old")
-    assert store.compact(spark, path) == [folder] and store.scan(spark, path, "2024-07").count() == 2
-    assert store.read_catalog(spark, f"file://{tmp_path}/none", schema).count() == 0
-    small = B.reencoded(spark.createDataFrame([tile("s", 1, "06", [5], 1.0, 1)], schema)).first()
-    assert small["size_bytes"] == len(small["data"])
