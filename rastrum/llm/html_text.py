@@ -5,8 +5,11 @@ sidebars, notices, adverts, forms, comments, scripts and styles go with all
 that is in them. Every block of text gives points, by its length and commas, to
 its parent and half as many to its grandparent, whose classes and ids speak for
 or against it; a container's points shrink with its share of link text. The
-best container is kept, with those siblings that score near it or read like
-prose, and its blocks are joined in page order.
+best container is kept, with those siblings that score near it, read like
+prose or are named as its lead, and its blocks are joined in page order. Names of
+comments, footers, menus, notices and adverts speak against an element whatever
+other names stand beside them; names of sidebars and the like only where none
+speaks for it. Formulas are text, their annotations are not.
 
 Null and empty pages have an empty text. A page without markup is one block.
 White space inside a block becomes one space, character references are decoded,
@@ -29,14 +32,18 @@ from .shared import small_batches, table
 # Elements of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes".split())
-GONE = frozenset("script style textarea title noscript template iframe noembed noframes head nav footer aside form button select option svg math canvas object audio video dialog menu label fieldset".split())
+GONE = frozenset("script style textarea title noscript template iframe noembed noframes head nav footer aside form button select option svg annotation annotation-xml canvas object audio video dialog menu label fieldset".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot"}
 #: What an opening tag ends: siblings of its kind that were left open.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
-AGAINST = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|promo|banner|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|comments?|respond|replies|disqus|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|sidebar|side|widget|related|recommended|footer|foot|masthead|toolbar|tags|meta|skip|search|hidden|print-only|sr-only)(?:$|[\s_-])", re.I)
+#: Parts of a class or id that name what is no article, whatever stands beside them; then those that a name of FOR outweighs.
+NEVER = re.compile(r"(?:^|[_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|banner|cookies?|consent|gdpr|notice|popup|modal|newsletter|subscribe|signup|login|comments?|commentlist|respond|replies|disqus|nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|footer|masthead|toolbar)(?:$|[_-])", re.I)
+STATE = re.compile(r"^(?:has|no|with|without|is|show|hide)[_-]|[_-](?:open|closed|enabled|disabled|on|off)$", re.I)
+AGAINST = re.compile(r"(?:^|[\s_-])(?:promo|overlay|share|sharing|social|sidebar|side|widget|related|recommended|foot|tags|meta|skip|search|hidden|print-only|sr-only)(?:$|[\s_-])", re.I)
 FOR = re.compile(r"(?:^|[\s_-])(?:article|body|content|entry|main|page|post|story|text|blog|column)(?:$|[\s_-])", re.I)
+LEAD = re.compile(r"(?:^|[\s_-])(?:lead|intro|introduction|summary|standfirst|teaser|deck|dek|subtitle|subhead|abstract|excerpt)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar toolbar alert".split())
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s>/]*)[^>]*(?:>|$)|<([a-zA-Z][^\s>/]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
@@ -59,7 +66,10 @@ def unwanted(name: str, attrs: dict) -> bool:
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or attrs.get("role", "").lower() in ROLES or re.search(r"display\s*:\s*none", attrs.get("style", "")):
         return True
     words = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return len(words) > 1 and bool(AGAINST.search(words)) and not FOR.search(words)
+    if len(words) < 2:
+        return False
+    # A class such as has-comments tells of the page, not of what is in the element.
+    return any(NEVER.search(w) and not STATE.search(w) for w in words.split()) or bool(AGAINST.search(words)) and not FOR.search(words)
 
 
 def tree(page: str, forms: bool = False) -> Node:
@@ -235,7 +245,8 @@ def main_text(page: str | None) -> str:
                 continue
             size, share = chars.get(id(kid), 0), density(kid)
             prose = kid.name in ("p", "blockquote", "pre") and (size > 80 and share < 0.25 or 0 < size <= 80 and share == 0)
-            if final.get(id(kid), 0.0) >= max(10.0, 0.2 * most) or prose or (re.fullmatch(r"h[1-6]", kid.name) and share < 0.3):
+            lead = share == 0 and 0 < size and bool(LEAD.search(f"{kid.attrs.get('class', '')} {kid.attrs.get('id', '')}"))
+            if final.get(id(kid), 0.0) >= max(10.0, 0.2 * most) or prose or lead or (re.fullmatch(r"h[1-6]", kid.name) and share < 0.3):
                 keep.add(id(kid))
     elif best.name == "article" and best.up is not None:
         # Articles beside each other, as in a list of posts, that score near the best.
