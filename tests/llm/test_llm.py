@@ -352,6 +352,26 @@ def test_a_passage_around_a_common_line(spark):
     assert set(got) == {60} and set(range(70)) | set(range(85, 145)) <= got[60]
 
 
+def test_similar_passages_made_of_common_lines(spark):
+    import random
+
+    rnd = random.Random(12)
+    lines = [passage(10, 4000 + i) for i in range(60)]
+    rows = [(i, " ".join(rnd.sample(lines, 24))) for i in range(300)]
+    for i in range(40):
+        w = " ".join(rnd.sample(lines, 24)).split()
+        near = list(w)
+        for at in (47, 90, 130, 170, 205):
+            near[at] = f"e{i}_{at}"
+        rows += [(1000 + i, f"{passage(20, 5000 + i)} {' '.join(w)}"), (2000 + i, f"{' '.join(near)} {passage(20, 6000 + i)}")]
+    got = {}
+    for r in substring_dedup.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["first_word"] + r["n_words"]))
+    # Each passage is like its pair's alone: 0.81 similar, and no 50 words of it are equal.
+    share = [len(got.get(2000 + i, set()) & set(range(240))) / 240 for i in range(40)]
+    assert sum(share) / 40 >= 0.99 and min(share) > 0.9 and not any(i in got for i in range(300))
+
+
 def test_two_texts_under_one_id_and_repeated_rows(spark):
     shared, own = passage(70, 81), passage(120, 82)
     rows = [(1, shared), (2, f"{shared} {passage(9, 83)}"), (2, own), (3, own + " more"), (None, shared + " tail"), (4, "  " + shared + "\n"), (None, None), (5, "")] + [(6, passage(80, 84))] * 50
