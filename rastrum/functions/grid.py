@@ -98,3 +98,18 @@ def utm(lon: Column, lat: Column, zone: Column) -> tuple[Column, Column]:
         n = n + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
     k = 0.9996 * _RECT
     return 500000 + k * e, k * n + F.when(lat < 0, 10000000.0).otherwise(0.0)
+
+
+def with_utm(df, lon: str, lat: str, zone: Column, x: str, y: str, south: Column):
+    """df with easting x and northing y in each row's zone and hemisphere, in steps that each have a column: one expression of them all is too long to compile."""
+    phi, dl = F.col(lat) * (math.pi / 180), (F.col(lon) - (zone * 6 - 183)) * (math.pi / 180)
+    atanh = lambda c: F.log((1 + c) / (1 - c)) / 2
+    df = df.withColumns({"_phi": phi, "_dl": dl, "_off": F.when(south, 10000000.0).otherwise(0.0)})
+    df = df.withColumn("_t", F.sinh(atanh(F.sin("_phi")) - _E * atanh(_E * F.sin("_phi"))))
+    df = df.withColumns({"_xi": F.atan2(F.col("_t"), F.cos("_dl")), "_eta": atanh(F.sin("_dl") / F.sqrt(1 + F.col("_t") * F.col("_t")))})
+    e, n = F.col("_eta"), F.col("_xi")
+    for j, a in enumerate(_ALPHA, 1):
+        e = e + a * F.cos(2 * j * F.col("_xi")) * F.sinh(2 * j * F.col("_eta"))
+        n = n + a * F.sin(2 * j * F.col("_xi")) * F.cosh(2 * j * F.col("_eta"))
+    k = 0.9996 * _RECT
+    return df.withColumns({x: 500000 + k * e, y: k * n + F.col("_off")}).drop("_phi", "_dl", "_off", "_t", "_xi", "_eta")

@@ -117,11 +117,12 @@ def plan_tiles(candidates: DataFrame, held: DataFrame, keep=None) -> DataFrame:
 
 
 def checked_matches(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
-    """Catalog rows with their stored tile; an error where a row has none, or several. Keys match null-safely."""
+    """Catalog rows with their stored tile; an error where a row has none, or several. Keys match null-safely. Tiles that no row asks for are left out first, so what is grouped follows the rows, not the store."""
     on = F.lit(True)
     for k in keys:
         on = on & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
-    counted = stored.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in stored.columns if c not in keys))
+    near = stored.alias("b").join(rows.select(*keys).distinct().alias("a"), on, "left_semi")
+    counted = near.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.first(c).alias(c) for c in stored.columns if c not in keys))
     met = rows.alias("a").join(counted.alias("b"), on, "left")
     fault = F.when(F.col("b._n").isNull(), "a catalog row has no stored tile").when(F.col("b._n") > 1, "a catalog row has several stored tiles")
     return met.where(F.when(fault.isNull(), True).otherwise(F.raise_error(fault).cast("boolean"))).select("a.*", *(F.col(f"b.{c}") for c in stored.columns if c not in rows.columns))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rastrum.operators import blobs as B
+from rastrum.operators import tiles as T
 from rastrum.plans.registry import RING, query
-from rastrum.sources import codec
+from rastrum.sources import codec, store
+from rastrum.sources.shared import work_dir
 
 EDGE, ACROSS, NODATA = 8, 10, -9999
 _RING = [(x * 2.0, y * 2.0) for x, y in RING]
@@ -17,14 +19,32 @@ _CLEANEST = f"{_T}, r AS (SELECT *, dense_rank() OVER (PARTITION BY tile_id ORDE
 
 
 def stored(px):
-    """A store of 8 x 8 tiles: one row for each scene's part of a tile."""
+    """Rows of a store of 8 x 8 tiles: one for each scene's part of a tile."""
     tiles = px.groupBy("tile_id", "vec_id", "scene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "dn"))), lambda s: s["dn"]).alias("px"), F.count_if(F.col("dn") != NODATA).cast("int").alias("valid_px"))
+    x, y = F.col("tile_id") % ACROSS, F.floor(F.col("tile_id") / ACROSS).cast("long")
     named = tiles.select(
-        F.lit("B").alias("band"), F.lit("2024-06-01").alias("date"), (F.col("tile_id") % ACROSS).alias("x"), F.floor(F.col("tile_id") / ACROSS).cast("long").alias("y"), F.lit("EPSG:32636").alias("crs"),
+        F.lit("B").alias("band"), F.lit("2024-06-01").alias("date"), x.alias("x"), y.alias("y"), F.lit("EPSG:32636").alias("crs"), F.lit(10.0).alias("res"), F.lit(EDGE).alias("tile_px"),
+        *((v.cast("double") / 1000).alias(k) for k, v in (("west", x), ("south", y), ("east", x + 1), ("north", y + 1))),
         F.lit("orbit_1").alias("acq"), "scene_id", "valid_px", F.expr(_CLOUD).alias("cloud_pct"), F.col("vec_id").cast("long").alias("fetched_at"), F.lit(0).cast("long").alias("size_bytes"), "px")
     return codec.encode_tiles(named, EDGE, NODATA)
 
 
+def published(px):
+    """(path, catalog) of these tiles in a store that also has another band and another month, and of what its catalog says."""
+    spark, path = px.sparkSession, work_dir(px.sparkSession)
+    tiles = stored(px)
+    store.append(tiles, f"{path}/tiles")
+    store.append(tiles.where("x < 5").withColumn("date", F.lit("2024-07-01")).unionByName(tiles.where("x >= 5").withColumn("band", F.lit("Q"))), f"{path}/tiles")
+    return f"{path}/tiles", store.rebuild_catalog(spark, f"{path}/tiles", f"{path}/catalog")
+
+
+def _found(px, where: str = "true"):
+    """Blobs of band B in June: the catalog's rows, then the files that these name."""
+    path, catalog = published(px)
+    rows = catalog.where((F.col("band") == "B") & T.date_prefix("2024-06") & F.expr(where))
+    return store.read_rows(px.sparkSession, path, rows, [*B.KEY, "scene_id"])
+
+
 def _pixels(rasters):
     """One row for each pixel, to be compared."""
     p = rasters.select("x", "y", F.posexplode("px").alias("pos", "dn"))
@@ -33,15 +53,13 @@ def _pixels(rasters):
 
 @query("SELECT tile_id, scene_id, CAST(pos AS BIGINT) AS pos, CAST(dn AS BIGINT) AS dn FROM px WHERE scene_id = 'scene_2'", "px")
 def tiles_read(px):
-    tiles = stored(px)
-    catalog = tiles.where("scene_id = 'scene_2'").drop("data")
-    back = codec.decode_tiles(B.read_tiles(catalog, tiles, [*B.KEY, "scene_id"]))
+    back = codec.decode_tiles(_found(px, "scene_id = 'scene_2'"))
     return back.select((F.col("y") * ACROSS + F.col("x")).alias("tile_id"), "scene_id", F.posexplode("px").alias("pos", "dn")).select("tile_id", "scene_id", F.col("pos").cast("long").alias("pos"), F.col("dn").cast("long").alias("dn"))
 
 
 @query(f", {_CLEANEST} SELECT \"row\", col, dn FROM g", "px")
 def mosaic_of_store(px):
-    return _pixels(B.mosaic(stored(px), EDGE))
+    return _pixels(B.mosaic(_found(px), EDGE))
 
 
 _CROSSED = " + ".join(f"CAST(({y0} > \"row\" + 0.5) <> ({y1} > \"row\" + 0.5) AND col + 0.5 < {x1 - x0}::DOUBLE * (\"row\" + 0.5 - {y0}) / {y1 - y0}::DOUBLE + {x0} AS INTEGER)" for (x0, y0), (x1, y1) in zip(_RING, _RING[1:] + _RING[:1]) if y0 != y1)
@@ -49,12 +67,12 @@ _CROSSED = " + ".join(f"CAST(({y0} > \"row\" + 0.5) <> ({y1} > \"row\" + 0.5) AN
 
 @query(f", {_CLEANEST} SELECT \"row\", col, CASE WHEN ({_CROSSED}) % 2 = 1 THEN dn ELSE -9999 END AS dn FROM g", "px")
 def clip_of_store(px):
-    return _pixels(B.mosaic(stored(px), EDGE, _RING))
+    return _pixels(B.mosaic(_found(px), EDGE, _RING))
 
 
 @query("SELECT tile_id, scene_id, CASE WHEN dn <> -9999 THEN CAST(dn AS DOUBLE) END AS value FROM px WHERE pos = 3 * 8 + 5", "px")
 def series_of_store(px):
-    found = B.series(stored(px), 3, 5)
+    found = B.series(_found(px), 3, 5)
     return found.orderBy("date", F.coalesce("acq", F.lit("")), "crs").select((F.col("y") * ACROSS + F.col("x")).alias("tile_id"), "scene_id", "value")
 
 
@@ -69,6 +87,23 @@ _PARTS = f"{_T}, s AS (SELECT tile_id, vec_id, scene_id, cloud, count(*) FILTER
   c AS (SELECT tile_id, string_agg(scene_id, '|' ORDER BY scene_id) AS scenes, max(vec_id) AS fetched_at, cloud_pct FROM s LEFT JOIN h USING (tile_id) GROUP BY tile_id, cloud_pct)
   SELECT tile_id, scenes, fetched_at, cloud_pct, CAST(count(*) FILTER (dn <> -9999) AS BIGINT) AS valid_px, CAST(sum(dn * (pos + 1)) AS BIGINT) AS digest FROM m JOIN c USING (tile_id) GROUP BY ALL""", "px")
 def merged_of_store(px):
-    m = codec.decode_tiles(B.merged(stored(px)))
+    path, _ = published(px)
+    store.compact(px.sparkSession, path)
+    m = codec.decode_tiles(store.scan(px.sparkSession, path, "2024-06").where("band = 'B'"))
     digest = F.aggregate(F.transform("px", lambda v, i: v.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, v: a + v)
     return m.select((F.col("y") * ACROSS + F.col("x")).alias("tile_id"), F.col("scene_id").alias("scenes"), "fetched_at", "cloud_pct", F.col("valid_px").cast("long").alias("valid_px"), digest.alias("digest"))
+
+
+@query(f""", {_T}, s AS (SELECT tile_id, vec_id, scene_id, CAST(sum(dn * (pos + 1)) AS BIGINT) AS digest FROM px WHERE vec_id % 5 = 1 GROUP BY ALL) SELECT tile_id, scene_id, digest, true AS smaller, true AS sealed FROM s""", "px")
+def reencoded_store(px):
+    """Tiles written in strips of a row each, then their month written anew."""
+    spark, path = px.sparkSession, f"{work_dir(px.sparkSession)}/tiles"
+    tiles = stored(px.where("vec_id % 5 = 1"))
+    thin = F.pandas_udf(lambda v: v.map(lambda b: codec.write(codec.read(b), strip_rows=1)), "binary")
+    store.append(tiles.withColumn("data", thin("data")).withColumn("size_bytes", F.length("data").cast("long")), path)
+    before = store.scan(spark, path).select("x", "y", F.length("data").alias("was"))
+    done, _ = store.compact(spark, path, smaller=True)
+    m = codec.decode_tiles(store.scan(spark, path).withColumn("now", F.length("data"))).join(before, ["x", "y"])
+    digest = F.aggregate(F.transform("px", lambda v, i: v.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, v: a + v)
+    whole = all(c.sealed and c.bytes_after < c.bytes_before for c in done)
+    return m.select((F.col("y") * ACROSS + F.col("x")).alias("tile_id"), "scene_id", digest.alias("digest"), ((F.col("now") < F.col("was")) & (F.col("now") == F.col("size_bytes"))).alias("smaller"), F.lit(whole).alias("sealed"))

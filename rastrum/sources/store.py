@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import json
-import os
-import tempfile
 import time
 import uuid
 from dataclasses import dataclass
@@ -17,6 +15,7 @@ from rastrum.functions.views import view
 from rastrum.operators import blobs as B
 from rastrum.operators import tiles as T
 from rastrum.sources.manifest import Conflict, Log, Version
+from rastrum.sources.shared import work_dir
 
 CATALOG = ["file", "band", "date", "x", "y", "crs", "west", "south", "east", "north", "cloud_pct", "scene_id", "size_bytes", "acq", "valid_px"]
 SORT = ["band", "date", "x", "y"]
@@ -150,6 +149,15 @@ def compact(spark: SparkSession, path: str, ties: tuple[str, ...] = (), least_ba
     return compact_months(spark, path, [f for f, v in found.items() if v.batches >= least_batches], ties, smaller)
 
 
+def read_rows(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Catalog rows with the blob of their one stored tile: only the files that the rows name are opened, and of those only the keys' months. An error where a row has no tile, or several (the catalog is older than a compaction then, or a tile is still split)."""
+    files = sorted(r[0] for r in rows.select("file").distinct().collect())  # as many as the request touches
+    if not files:
+        return rows.withColumn("data", F.lit(None).cast("binary"))
+    stored = spark.read.option("basePath", path).parquet(*files)
+    return B.read_tiles(rows, stored, keys)
+
+
 def read_catalog(spark: SparkSession, catalog: str, schema=None) -> DataFrame:
     """The newest catalog; where none was published yet an empty frame of the schema."""
     log = Log(spark, catalog, ("part",))
@@ -170,13 +178,6 @@ def rebuild_catalog(spark: SparkSession, path: str, catalog: str) -> DataFrame:
             return read_catalog(spark, catalog)
 
 
-def work_dir(spark: SparkSession) -> str:
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found and not (spark.sparkContext.master or "").startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return f"{found.rstrip('/')}/{uuid.uuid4().hex}" if found else os.path.join(tempfile.mkdtemp(prefix="rastrum-"), "store")
-
-
 TIES = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 

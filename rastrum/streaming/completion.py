@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from rastrum.functions.views import view
-from rastrum.sources.store import work_dir
+from rastrum.sources.shared import work_dir
 from rastrum.streaming.staging import drained, file_stream, staged
 
 DAY = 86_400_000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastrum.sources.store import work_dir
+from rastrum.sources.shared import work_dir
 from rastrum.streaming.staging import drained, file_stream, staged
 
 GRACE = "12 hours"

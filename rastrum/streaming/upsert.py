@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rastrum.operators.raster import newest
 from rastrum.sources.manifest import Conflict, Log
-from rastrum.sources.store import work_dir
+from rastrum.sources.shared import work_dir
 from rastrum.streaming.staging import drained, file_stream, staged
 
 
