@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import table
+from .shared import cut, table
 
 RULES = (
     ("allow", "com", "/"),
@@ -97,6 +97,7 @@ def url_filters(pages: DataFrame, rules=RULES, edges: DataFrame | None = None) -
     found = alias_edges(pages.select("url", "html"))
     if edges is not None:
         found = found.unionByName(edges.select("src", "dst"))
+    found = cut(found, "aliases")  # pages are read for links once; the edges are used three times
     known = found.select(F.col("src").alias("url")).unionByName(found.select(F.col("dst").alias("url"))).distinct()
     groups = connected_components(found.select(_address(F.col("src")).alias("a"), _address(F.col("dst")).alias("b")))
     own = known.select(_address(F.col("url")).alias("id"), host.alias("host"), path.alias("path")).select("id", verdict.alias("v"))
