@@ -9,6 +9,7 @@ from rastrum.functions import footprints as P
 from rastrum.functions import grid as G
 from rastrum.functions import scalars as S
 from rastrum.operators import tiles as T
+from rastrum.operators import ranks as N
 from rastrum.plans.registry import RING, query
 
 TEN = G.Grid(0.25, 40, -0.125, -0.125)
@@ -366,15 +367,16 @@ def rising_stamp(s):
 
 @query("SELECT band, count(*) FILTER (ts <= before) AS not_rising FROM (SELECT band, ts, lag(ts) OVER (PARTITION BY band ORDER BY event_id) AS before FROM sensors) GROUP BY band", "sensors")
 def ascending_check(s):
-    before = F.lag("ts").over(Window.partitionBy("band").orderBy("event_id"))
-    return s.withColumn("before", before).groupBy("band").agg(F.count_if(F.col("ts") <= F.col("before")).alias("not_rising"))
+    following = N.with_next(s.select("band", "event_id", "ts"), ["band"], ["event_id"], "ts")
+    return following.groupBy("band").agg(F.count_if(F.col("next") <= F.col("ts")).alias("not_rising"))
 
 
 @query("SELECT band, lon AS at, gap FROM (SELECT band, lon, lead(lon) OVER (PARTITION BY band ORDER BY lon) - lon AS gap FROM (SELECT DISTINCT band, lon FROM sensors)) QUALIFY row_number() OVER (PARTITION BY band ORDER BY round(gap, 9) DESC NULLS LAST, lon) = 1", "sensors")
 def widest_gap(s):
-    lons = s.groupBy("band").agg(F.array_sort(F.collect_set("lon")).alias("v"))
-    gaps = F.transform(F.slice("v", 1, F.size("v") - 1), lambda x, i: F.struct(F.round(F.get("v", i + 1) - x, 9).alias("r"), (-x).alias("o"), x.alias("at"), (F.get("v", i + 1) - x).alias("gap")))
-    return lons.select("band", F.array_max(gaps).alias("g")).select("band", "g.at", "g.gap")
+    gap = F.col("next") - F.col("lon")
+    lons = N.with_next(s.select("band", "lon").distinct(), ["band"], ["lon"], "lon").where("next is not null")
+    widest = F.max(F.struct(F.round(gap, 9).alias("r"), (-F.col("lon")).alias("o"), gap.alias("gap")))
+    return lons.groupBy("band").agg(widest.alias("g")).select("band", (-F.col("g.o")).alias("at"), "g.gap")
 
 
 _RANKED = "SELECT band, date, x, y, l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY band ORDER BY {}, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS place FROM obs"
@@ -382,7 +384,8 @@ _TIES = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def _ranked(obs, *order):
-    return obs.select("band", "date", "x", "y", *_TIES, _long(F.row_number().over(Window.partitionBy("band").orderBy(*order, *_TIES))).alias("place"))
+    keep = ["band", "date", "x", "y", *_TIES]
+    return N.ranked(obs.select(*keep, "acq", "crs", "cloud_pct"), ["band"], [*order, *_TIES]).select(*keep, "place")
 
 
 @query(_RANKED.format("date, coalesce(acq, ''), crs"), "obs")
