@@ -113,8 +113,11 @@ def features(texts: list[str | None]):
             for i in range(hi - lo):
                 s, c = np.unique(slot[bounds[i] : bounds[i + 1]], return_counts=True)
                 if len(s):
-                    out[lo + i].append((s + (kind << BITS), c / c.sum()))
-    return [(np.concatenate([s for s, _ in x]), np.concatenate([c for _, c in x]).astype(np.float32)) if x else (np.zeros(0, np.int64), np.zeros(0, np.float32)) for x in out]
+                    out[lo + i].append(((s + (kind << BITS)).astype(np.int32), (c / c.sum()).astype(np.float32)))
+        for i in range(lo, hi):  # some 8 bytes an n-gram of all teaching rows, and no more
+            x = out[i]
+            out[i] = (np.concatenate([s for s, _ in x]), np.concatenate([c for _, c in x])) if x else (np.zeros(0, np.int32), np.zeros(0, np.float32))
+    return out
 
 
 def fit(texts: list[str | None], labels: list[int], epochs: int = 6, seed: int = 1) -> dict:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import gc
 import os
@@ -107,6 +108,8 @@ def fitted(rows: DataFrame, fit, what: str):
     def run(batches):
         found = sorted(((r["y"], r["text"]) for b in batches for r in b.to_pylist()), key=lambda r: (str(r[0]), r[1]))
         model = pickle.dumps(fit([t for _, t in found], [y for y, _ in found]))
+        del found
+        trim()
         for lo in range(0, len(model), 1 << 20):
             yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([model[lo : lo + (1 << 20)]], pa.binary())], names=["at", "data"])
 
@@ -116,6 +119,16 @@ def fitted(rows: DataFrame, fit, what: str):
     return spark.sparkContext.broadcast(data or pickle.dumps(fit([], [])))
 
 
+def trim() -> None:
+    """Gives the memory that a worker no longer uses back to the system; workers live on for later tasks."""
+    import ctypes
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 @functools.lru_cache(maxsize=4)
 def _loaded(data: bytes):
     return pickle.loads(data)
