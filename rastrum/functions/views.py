@@ -21,7 +21,7 @@ FROM lineitem"""
 SCENES = """SELECT o_orderkey, concat('MOD.A', substr(CAST(o_orderdate AS STRING), 1, 7), '.h', lpad(CAST(o_custkey % 6 AS STRING), 2, '0'), 'v', lpad(CAST(o_orderkey % 4 AS STRING), 2, '0'), '.061.', lpad(CAST(o_orderkey AS STRING), 10, '0')) AS id,
   CAST(o_custkey % 6 AS BIGINT) AS h, CAST(o_orderkey % 4 AS BIGINT) AS v,
   substr(CAST(o_orderdate AS STRING), 1, 10) AS start_date, substr(CAST(o_orderdate + INTERVAL '7' DAY AS STRING), 1, 10) AS end_date,
-  CAST(o_orderkey % 101 AS DOUBLE) AS cloud_cover, CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'prelim' END AS kind
+  CAST(o_orderkey % 101 AS DOUBLE) AS cloud_cover, CASE o_orderstatus WHEN 'F' THEN 'final' WHEN 'O' THEN 'prelim' END AS kind, o_orderpriority AS tier
 FROM orders"""
 
 SENSORS = """SELECT event_id, event_type AS band, CAST(user_id * 0.05 AS DOUBLE) AS lon, CAST((user_id % 37) * 0.1 AS DOUBLE) AS lat, ts, CAST(round(value * 100) AS BIGINT) AS cents FROM events"""

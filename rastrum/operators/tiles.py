@@ -110,6 +110,11 @@ def range_join(tiles: DataFrame, boxes: DataFrame, cell: float) -> DataFrame:
     return met.where(corner & (F.col("north") > F.col("s")) & (F.col("south") < F.col("n")) & (F.col("east") > F.col("w")) & (F.col("west") < F.col("e"))).drop("_cx", "_cy")
 
 
+def of_tier(scenes: DataFrame, name: Column, suffix: str, tiers: tuple[str, ...]) -> DataFrame:
+    """Scenes of some tiers whose name ends with a region's suffix; scenes without a tier or name are of none."""
+    return scenes.where(name.endswith(suffix) & F.col("tier").isin(*tiers))
+
+
 def plan_tiles(candidates: DataFrame, held: DataFrame, keep=None) -> DataFrame:
     """Candidate tiles (tx, ty) to fetch: those that a rule keeps (zone, extent, area of interest) and that are not held (x, y)."""
     wanted = candidates if keep is None else candidates.where(keep)

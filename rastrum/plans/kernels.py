@@ -9,7 +9,8 @@ from rastrum.functions import grid as G
 from rastrum.functions import zones
 from rastrum.functions.views import view
 from rastrum.operators import chunks as C
-from rastrum.operators import compose, rasterise
+from rastrum.operators import compose, cutting, rasterise
+from rastrum.operators import tiles as T
 from rastrum.plans.registry import query, query_of
 
 # Composition: tiles of 8 pixels of 11 km in zone 36; each scene's part of a tile is what the cells with one remainder hold of it, and a ninth of the cells are absent.
@@ -159,3 +160,31 @@ def zone_tiles_kept(p):
 @query(f", {_AREAS} SELECT c_custkey, CAST(32600 + 100 * CAST(south AS INTEGER) + z AS INTEGER) AS epsg FROM aoi_pts JOIN areas a ON lon >= w AND lon < e AND lat >= s AND lat < n", "aoi_pts")
 def zone_of_points(p):
     return zones.zone_plan(p, "lon", "lat").select("c_custkey", "epsg")
+
+
+# Scenes: each scene's parts of tiles are blocks of 8 x 8 pixels, off the tiles of 6 pixels by 3 and 5.
+@query("""SELECT scene_id AS scene, gx // 6 AS x, -(gy // 6) - 1 AS y, count(*) AS n, CAST(sum(dn * (gy % 6 * 6 + gx % 6 + 1)) AS BIGINT) AS digest
+  FROM (SELECT scene_id, tile_id % 10 * 8 + pos % 8 + 3 AS gx, tile_id // 10 * 8 + pos // 8 + 5 AS gy, dn FROM px WHERE dn <> -9999) GROUP BY ALL""", "px")
+def scenes_cut(px):
+    blocks = px.groupBy("tile_id", F.col("scene_id").alias("scene")).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "dn"))), lambda s: s["dn"]).alias("px"))
+    west, north = (F.col("tile_id") % 10 * 8 + 3) * 10.0, -(F.floor(F.col("tile_id") / 10) * 8 + 5) * 10.0
+    made = cutting.cut(blocks.select("scene", west.alias("west"), north.alias("north"), F.lit(8).alias("high"), F.lit(8).alias("wide"), "px"), G.Grid(10.0, 6), -9999)
+    ok = F.filter(F.transform("px", lambda v, i: F.when(v != -9999, v.cast("long") * (i + 1))), lambda v: v.isNotNull())
+    return made.select("scene", "x", "y", F.col("valid_px").cast("long").alias("n"), F.aggregate(ok, F.lit(0).cast("long"), lambda a, v: a + v).alias("digest"))
+
+
+# Plans: the scenes' extents on a lattice of 100 m x 100 pixels, an area of their own, and what obs holds of them.
+_HELD_SQL = "parts AS (SELECT band, date, x, y, tile_px, valid_px, unnest(CASE WHEN scene_id IS NULL THEN [NULL] ELSE string_split(scene_id, '|') END) AS scene FROM obs), held AS (SELECT band, date, x, y, coalesce(string_agg(DISTINCT scene, '|'), '') AS scenes, coalesce(bool_or(valid_px >= tile_px * tile_px), false) AS complete FROM parts GROUP BY ALL)"
+
+
+@query(f""", {_HELD_SQL}, w AS (SELECT DISTINCT 'scene_' || o_orderkey % 7 AS scene, 'EPSG:4326' AS crs, CASE o_orderkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS band, substr(start_date, 1, 7) || '-01' AS date, h, v FROM scenes),
+  t AS (SELECT w.*, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y FROM w, range(0, 12) a(x), range(0, 12) b(y) WHERE x >= h AND x < h + 2 AND y >= v AND y < v + 2 AND (x + y) % 4 <> 3)
+  SELECT DISTINCT t.scene, t.crs, t.band, t.date, t.x, t.y FROM t LEFT JOIN held USING (band, date, x, y) WHERE NOT coalesce(held.complete, false) AND NOT list_contains(string_split(coalesce(held.scenes, ''), '|'), t.scene)""", "scenes", "obs")
+def scene_plan(s, obs):
+    grid = G.Grid(100.0, 100)
+    h, v = F.col("h") * grid.size, F.col("v") * grid.size
+    band = F.when(F.col("o_orderkey") % 3 == 0, "A").when(F.col("o_orderkey") % 3 == 1, "N").otherwise("R")
+    # Two tiles wide and high, and half a hundredth of a pixel over, which reaches no other tile.
+    extents = s.select(F.concat(F.lit("scene_"), (F.col("o_orderkey") % 7).cast("string")).alias("scene"), F.lit("EPSG:4326").alias("crs"), band.alias("band"), F.concat(F.substring("start_date", 1, 7), F.lit("-01")).alias("date"), h.alias("west"), v.alias("south"), (h + 2 * grid.size + 0.5).alias("east"), (v + 2 * grid.size + 0.5).alias("north")).distinct()
+    area = s.sparkSession.range(12).select(F.col("id").alias("tx"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long"))).alias("ty")).where("(tx + ty) % 4 <> 3")
+    return cutting.plan(extents, grid, T.held_scenes(obs), area).distinct()

@@ -109,10 +109,14 @@ def first_present_asset(s):
     return s.select("o_orderkey", S.first_asset(assets, "lwir11", "lwir").alias("asset"))
 
 
-@query("SELECT o_orderkey, id FROM scenes WHERE kind IS NOT NULL AND (kind || '_EUROPE') LIKE 'final%'", "scenes")
+# The region that a name ends with comes from the scene's key.
+_TIER = "CASE CAST(o_orderkey % 3 AS INTEGER) WHEN 0 THEN '_EUROPE' WHEN 1 THEN '_AFRICA' ELSE '' END"
+
+
+@query(f"SELECT o_orderkey, id FROM (SELECT *, id || {_TIER} AS name FROM scenes) WHERE ends_with(name, '_EUROPE') AND tier IN ('1-URGENT', '2-HIGH')", "scenes")
 def suffix_and_tier(s):
-    kind = F.concat(F.col("kind"), F.lit("_EUROPE"))
-    return s.where(kind.endswith("_EUROPE") & (F.split(kind, "_")[0] == "final")).select("o_orderkey", "id")
+    region = F.when(F.col("o_orderkey") % 3 == 0, "_EUROPE").when(F.col("o_orderkey") % 3 == 1, "_AFRICA").otherwise("")
+    return T.of_tier(s, F.concat("id", region), "_EUROPE", ("1-URGENT", "2-HIGH")).select("o_orderkey", "id")
 
 
 @query("SELECT band, CASE band WHEN 'A' THEN 'MOD_day' WHEN 'N' THEN 'MYD_night' END AS asset, count(*) AS n FROM obs WHERE band IN ('A', 'N') GROUP BY ALL", "obs")

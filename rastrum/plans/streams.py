@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from rastrum.plans.registry import query_of
-from rastrum.streaming import completion, markers, upsert
+from rastrum.plans.registry import _RESOLVED, query_of
+from rastrum.streaming import completion, ingest, markers, upsert
 
 _MONTHS = "m AS (SELECT event_id, user_id, event_type, ts + to_months(CAST(event_id % 3 * (user_id % 2) AS INTEGER)) AS ts FROM events)"
 query_of(f"WITH {_MONTHS} SELECT event_id, user_id, event_type, ts, strftime(ts, '%Y-%m') AS ym FROM m QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1", name="stream_upsert")(upsert.query)
@@ -20,3 +20,5 @@ query_of(""", f AS (SELECT tile_id, pos, min(vec_id) FILTER (dn <> -9999) AS vec
 query_of("""SELECT v.user_id, v.event_id AS step, v.ts, CASE WHEN min(m.ts) IS NULL THEN 'left over' ELSE 'released' END AS status, arg_min(m.event_id, (m.ts, m.event_id)) AS marker, min(m.ts) AS m_ts
   FROM events v LEFT JOIN events m ON m.event_type = 'signup' AND m.user_id = v.user_id AND m.ts >= v.ts AND m.ts <= v.ts + INTERVAL 12 HOUR
   WHERE v.event_type = 'view' GROUP BY ALL""", name="stream_markers")(markers.query)
+
+query_of(f", {_RESOLVED} SELECT band, substr(date, 1, 7) AS month, count(*) AS n, CAST(sum(size_bytes) AS BIGINT) AS bytes, max(fetched_at) AS newest FROM resolved GROUP BY ALL", "obs", name="stream_ingest")(ingest.query)

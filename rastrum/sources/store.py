@@ -34,12 +34,15 @@ def catalog_of(tiles: DataFrame) -> DataFrame:
     return named.select(*CATALOG)
 
 
+def sorted_rows(tiles: DataFrame) -> DataFrame:
+    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place."""
+    return with_partitions(tiles).repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT)
+
+
 def append(tiles: DataFrame, path: str, compact_above: int | None = None, ties: tuple[str, ...] = ()) -> list[str]:
-    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place. Other writers may append or compact meanwhile. compact_above: months of more appends than this are compacted. Returns the months (folders) written."""
-    out = with_partitions(tiles)
-    rows = out.repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT)
+    """Rows added, sorted; other writers may append or compact meanwhile. compact_above: months of more appends than this are compacted. Returns the months (folders) written."""
     log = Log(tiles.sparkSession, path)
-    written = log.append(rows)
+    written = log.append(sorted_rows(tiles))
     crowded = [f for f, v in written.items() if compact_above is not None and v.batches > compact_above]
     if crowded:
         compact_months(tiles.sparkSession, path, crowded, ties)

@@ -121,5 +121,5 @@ def test_required_fields_are_named(spark):
     from rastrum.functions import scalars as S
 
     df = spark.createDataFrame([("s1", None)], "id string, orbit string")
-    with pytest.raises(Exception, match="s1 has no 'orbit'"):
+    with pytest.raises(Exception, match="s1 lacks the property 'orbit'"):
         df.select(S.required(F.col("orbit"), F.col("id"), "orbit")).collect()
