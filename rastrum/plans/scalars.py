@@ -9,6 +9,7 @@ from rastrum.functions import footprints as P
 from rastrum.functions import grid as G
 from rastrum.functions import scalars as S
 from rastrum.operators import tiles as T
+from rastrum.operators import choice
 from rastrum.operators import ranks as N
 from rastrum.plans.registry import RING, query
 
@@ -304,11 +305,11 @@ def keys_with_prefilter(obs):
     return T.read_keys(obs, want, [r[0] for r in _WANT], [r[2] for r in _WANT], [r[3] for r in _WANT], min(r[1] for r in _WANT), max(r[1] for r in _WANT)).groupBy("band", "date", "x", "y").agg(F.count("*").alias("n"))
 
 
-@query(", b AS (SELECT c_custkey, lon AS w, lat AS s, lon + 15 AS e, lat + 8 AS n FROM aoi_pts), t AS (SELECT DISTINCT x, y, west, south, east, north FROM obs WHERE west <= east) SELECT c_custkey, x, y FROM b JOIN t ON north > s AND south < n AND east > w AND west < e", "obs", "aoi_pts")
+@query(", b AS (SELECT c_custkey, lon AS w, lat AS s, lon + 15 AS e, lat + 8 AS n FROM aoi_pts), t AS (SELECT DISTINCT x, y, west, south, east, north FROM obs) SELECT c_custkey, x, y FROM b JOIN t ON north > s AND south < n AND CASE WHEN west <= east THEN east > w AND west < e ELSE east > w OR west < e END", "obs", "aoi_pts")
 def tiles_of_boxes(obs, p):
-    tiles = obs.where("west <= east").select("x", "y", "west", "south", "east", "north").distinct()
+    tiles = choice.unwrapped(obs.select("x", "y", "west", "south", "east", "north").distinct())
     boxes = p.select("c_custkey", F.col("lon").alias("w"), F.col("lat").alias("s"), (F.col("lon") + 15).alias("e"), (F.col("lat") + 8).alias("n"))
-    return T.range_join(tiles, boxes, 30.0).select("c_custkey", "x", "y")
+    return T.range_join(tiles, boxes, 30.0).select("c_custkey", "x", "y").distinct()
 
 
 @query(", m AS (SELECT DISTINCT tile_id FROM px), b AS (SELECT tile_id AS b, tile_id * 8 AS c0, tile_id * 8 + 8 AS c1 FROM m) SELECT m.tile_id AS mask, b.b AS band_tile FROM m JOIN b ON m.tile_id * 20 < b.c1 AND m.tile_id * 20 + 20 > b.c0", "px")
