@@ -451,12 +451,12 @@ def _bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    from rastrum.plans import decisions, kernels, scalars, stored, streams  # noqa: F401  they register their own
+    from rastrum.plans import decisions, kernels, scalars, searches, stored, streams  # noqa: F401  they register their own
 
     return _QUERIES | {"wgs84_bounds_projected": _bounds, "tile_codec_roundtrip": _codec}
 
 
 def oracle_sql() -> dict[str, str]:
-    from rastrum.plans import decisions, kernels, scalars, stored, streams  # noqa: F401
+    from rastrum.plans import decisions, kernels, scalars, searches, stored, streams  # noqa: F401
 
     return dict(_SQL)
