@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .grid import Grid
+from .bounds import utm_inverse
+from .grid import Grid, utm_zone, with_utm
 
 #: Degrees between the points at which an edge of a box is projected.
 EDGE_STEP = 0.02
@@ -89,9 +92,23 @@ def candidate_tiles(grid: Grid, boxes: DataFrame, project, key: str = "part") ->
     return grid.tiles(found, *(F.col(c) for c in ("west", "south", "east", "north"))).select("tx", "ty").distinct()
 
 
-def point_buffer(x: Column, y: Column, metres: float) -> list[Column]:
-    """Square around a projected point."""
-    return [x - metres, y - metres, x + metres, y + metres]
+def point_buffers(points: DataFrame, metres: float) -> DataFrame:
+    """points (lon, lat, and other columns) with `parts`: the square that reaches so many metres from each to every side, made in the point's UTM zone and moved back to degrees, as one ring of its four corners. A point without a place, or beyond the zones' 84 degrees, has no square (null)."""
+    names = points.columns
+    zone = F.when((F.abs("lat") <= 84) & F.col("lon").isNotNull(), utm_zone(F.pmod(F.col("lon") + 180, F.lit(360.0)) - 180))
+    at = with_utm(points.withColumn("_zone", zone), "lon", "lat", F.col("_zone"), "_x", "_y", F.col("lat") < 0).withColumn("_south", F.col("lat") < 0)
+
+    def run(batches):
+        for batch in batches:
+            x, y, z = (batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype(float) for c in ("_x", "_y", "_zone"))
+            south = np.array([bool(v) for v in batch.column(batch.schema.get_field_index("_south")).to_pylist()])
+            corners = np.stack([np.stack(utm_inverse(x + dx * metres, y + dy * metres, z, south), 1) for dx, dy in ((-1, -1), (1, -1), (1, 1), (-1, 1))], 1)
+            parts = [None if np.isnan(c).any() else [[c.tolist()]] for c in corners]
+            kind = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in names), pa.array(parts, kind)], names=[*names, "parts"])
+
+    kinds = dict(points.dtypes)
+    return at.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in names) + ", parts array<array<array<array<double>>>>")
 
 
 def request_lattice(boxes: DataFrame, step_x: float, step_y: float, least: int = 32, most: int = 512, key: str = "part") -> DataFrame:
@@ -133,9 +150,3 @@ def in_ring(ring: list[tuple[float, float]], x: Column, y: Column) -> Column:
         if y1 != y2:
             odd = odd + ((F.lit(min(y1, y2)) <= y) & (y < max(y1, y2)) & (x < (y - y1) * ((x2 - x1) / (y2 - y1)) + x1)).cast("int")
     return odd % 2 == 1
-
-
-def axis_window(first: Column, n: int, size: int, wrap: bool) -> Column:
-    """Array places of n cells from the first on: wrapped round an axis, or those beyond its ends as null."""
-    places = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: first + i)
-    return F.transform(places, lambda p: F.pmod(p, F.lit(size)) if wrap else F.when((p >= 0) & (p < size), p))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rastrum.functions import bounds as Z
+from rastrum.functions import footprints as P
 from rastrum.functions import grid as G
 from rastrum.functions import zones
 from rastrum.functions.views import view
@@ -188,3 +189,23 @@ def scene_plan(s, obs):
     extents = s.select(F.concat(F.lit("scene_"), (F.col("o_orderkey") % 7).cast("string")).alias("scene"), F.lit("EPSG:4326").alias("crs"), band.alias("band"), F.concat(F.substring("start_date", 1, 7), F.lit("-01")).alias("date"), h.alias("west"), v.alias("south"), (h + 2 * grid.size + 0.5).alias("east"), (v + 2 * grid.size + 0.5).alias("north")).distinct()
     area = s.sparkSession.range(12).select(F.col("id").alias("tx"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(11).cast("long"))).alias("ty")).where("(tx + ty) % 4 <> 3")
     return cutting.plan(extents, grid, T.held_scenes(obs), area).distinct()
+
+
+# Buffers: a kilometre around each point, from its zone and back; corners in millionths of a degree.
+_K = 0.9996 * G._RECT
+_EASTING = "".join(f" + {a!r}::DOUBLE * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(G._ALPHA, 1))
+_NORTHING = "".join(f" + {a!r}::DOUBLE * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(G._ALPHA, 1))
+_BACK = _inverse_sql("(x + dx * 1000)", "(y + dy * 1000)", 0)
+
+
+@query(f""", a AS (SELECT c_custkey, lat * (pi() / 180) AS phi, (lon - (zone * 6 - 183)) * (pi() / 180) AS dl, zone FROM (SELECT *, CAST(floor((lon + 180) / 6.0::DOUBLE) AS BIGINT) + 1 AS zone FROM aoi_pts)),
+  b AS (SELECT *, sinh(ln((1 + sin(phi)) / (1 - sin(phi))) / 2 - {G._E!r}::DOUBLE * (ln((1 + {G._E!r}::DOUBLE * sin(phi)) / (1 - {G._E!r}::DOUBLE * sin(phi))) / 2)) AS t FROM a),
+  c AS (SELECT *, atan2(t, cos(dl)) AS xi, ln((1 + sin(dl) / sqrt(1 + t * t)) / (1 - sin(dl) / sqrt(1 + t * t))) / 2 AS eta FROM b),
+  d AS (SELECT c_custkey, zone, 500000 + {_K!r}::DOUBLE * (eta{_EASTING}) AS x, {_K!r}::DOUBLE * (xi{_NORTHING}) AS y FROM c),
+  k(corner, dx, dy) AS (VALUES (0, -1, -1), (1, 1, -1), (2, 1, 1), (3, -1, 1)),
+  i0 AS (SELECT c_custkey, zone, corner, {_BACK[0]} FROM d, k), i1 AS (SELECT *, {_BACK[1]} FROM i0), i2 AS (SELECT *, {_BACK[2]} FROM i1), i3 AS (SELECT *, {_BACK[3]} FROM i2)
+  SELECT c_custkey, corner, CAST(round((lon + zone * 6) * 1000000) AS BIGINT) AS lon, CAST(round(lat * 1000000) AS BIGINT) AS lat FROM i3""", "aoi_pts")
+def point_buffers(p):
+    ring = P.point_buffers(p, 1000.0).select("c_custkey", F.posexplode(F.col("parts")[0][0]).alias("corner", "at"))
+    micro = lambda i, name: F.round(F.col("at")[i] * 1000000).cast("long").alias(name)
+    return ring.select("c_custkey", "corner", micro(0, "lon"), micro(1, "lat"))

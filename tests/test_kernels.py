@@ -185,3 +185,19 @@ def test_zones_that_do_not_exist_keep_nothing(spark):
     rows = [box("EPSG:32632", 10.0, 75.0), box("EPSG:32633", 10.0, 75.0), box("EPSG:32631", 4.0, 60.0), box("EPSG:32632", 4.0, 60.0), box("EPSG:32732", 10.0, 5.0), box("sinusoidal", 4.0, 60.0), box(None, 1.0, 1.0), ("EPSG:32660", 179.5, 5.0, -179.5, 6.0), ("EPSG:32601", 179.5, 5.0, -179.5, 6.0), ("EPSG:32636", None, None, None, None)]
     got = zones.canonical(spark.createDataFrame(rows, "crs string, lon_w double, lat_s double, lon_e double, lat_n double")).collect()
     assert sorted((r["crs"] or "", r["lon_w"]) for r in got) == [("", 1.0), ("EPSG:32601", 179.5), ("EPSG:32632", 4.0), ("EPSG:32633", 10.0), ("EPSG:32660", 179.5), ("sinusoidal", 4.0)]
+
+
+def test_buffers_around_points(spark):
+    from rastrum.functions import footprints as P
+
+    rows = [(1, 33.0, 38.0), (2, -70.5, -33.4), (3, 179.999, 1.0), (4, 10.0, 88.0), (5, None, 3.0)]
+    got = {r["id"]: r["parts"] for r in P.point_buffers(spark.createDataFrame(rows, "id long, lon double, lat double"), 500.0).collect()}
+    assert got[4] is None and got[5] is None
+    for i, lon, lat in rows[:2]:
+        ring = np.array(got[i][0][0])
+        wide, high = math.radians(1) * 6378137 * math.cos(math.radians(lat)), 111_000
+        away = np.hypot((ring[:, 0] - lon) * wide, (ring[:, 1] - lat) * high)
+        assert np.allclose(away, 500 * 2**0.5, rtol=0.01) and ((ring[:, 0] < lon) == [True, False, False, True]).all()
+    assert max(x for x, _ in got[3][0][0]) > 180  # the ring goes on over the antimeridian
+    aligned = spark.range(1).select(*(G.Grid(10.0, 256).aligned_with(F.lit(v)).alias(str(k)) for k, v in enumerate((5120.0, 5120.002, 5130.0)))).first()
+    assert tuple(aligned) == (True, True, False)
