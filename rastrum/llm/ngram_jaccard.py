@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from . import meeting
 from .components import connected_components
-from .shared import bloom_of, cut, drop, in_bloom, small_batches, table
+from .shared import bloom_of, cut, drop, in_bloom, small_batches, table, trimmed
 
 U = np.uint64
 #: Keys with more sets than this are compared in tiles of TILE sets.
@@ -176,7 +176,7 @@ def _mapped(docs: DataFrame, k: int, bands: tuple[int, int], parts: int) -> Data
                 yield closed()
         yield closed()
 
-    return docs.mapInArrow(run, "part int, chunk long, data binary, doc_id long, h long, n long, fp long, id long, sketch binary")
+    return docs.mapInArrow(trimmed(run), "part int, chunk long, data binary, doc_id long, h long, n long, fp long, id long, sketch binary")
 
 
 def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, rows: int) -> DataFrame:
@@ -199,7 +199,7 @@ def _sets(docs: DataFrame, k: int, wanted: DataFrame, reps: DataFrame, rows: int
                     data.append(s.tobytes())
             yield pa.RecordBatch.from_pydict({"fp": pa.array(names, pa.int64()), "set": pa.array(data, pa.binary())})
 
-    return docs.select("text", F.xxhash64("doc_id", "h").alias("x")).mapInArrow(run, "fp long, set binary").dropDuplicates(["fp"])
+    return docs.select("text", F.xxhash64("doc_id", "h").alias("x")).mapInArrow(trimmed(run), "fp long, set binary").dropDuplicates(["fp"])
 
 
 def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: int) -> DataFrame:
@@ -228,9 +228,9 @@ def _linked(pairs: DataFrame, sketches: DataFrame, sets_for, part: int, whole: i
             found = found.join(table.select(F.col("fp").alias(side), *(F.col(c).alias(c + side) for c in columns)), side)
         return found.select("a", "b", *(c + side for c in columns for side in "ab"))
 
-    near = cut(beside(pairs, sketches, "n", "sketch").mapInArrow(close, "a long, b long"), "near")
+    near = cut(beside(pairs, sketches, "n", "sketch").mapInArrow(trimmed(close), "a long, b long"), "near")
     sets = cut(sets_for(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp")))), "sets")
-    links = cut(beside(near, sets, "set").mapInArrow(exact, "a long, b long"), "links")
+    links = cut(beside(near, sets, "set").mapInArrow(trimmed(exact), "a long, b long"), "links")
     drop(sets, near)
     return links
 

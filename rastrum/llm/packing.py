@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import small_batches, table
+from .shared import small_batches, table, trimmed
 
 LENGTH = 1024
 DIMS, DEPTH = 4, 10
@@ -137,7 +137,7 @@ def _bounds(rows: DataFrame, vocabulary: str) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(key)], names=["key"])
 
     share = min(1.0, KEYS_A_RANGE * n / count)
-    found = np.sort(rows.sample(share, 7).mapInArrow(keys, "key long").toArrow().column("key").to_numpy())
+    found = np.sort(rows.sample(share, 7).mapInArrow(trimmed(keys), "key long").toArrow().column("key").to_numpy())
     return found[(np.arange(1, n) * len(found)) // n] if len(found) else np.zeros(0, np.int64)
 
 
@@ -174,10 +174,10 @@ def pack(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
                     at, done = at + size, done + size
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-    encoded = rows.mapInArrow(encode, "part int, key long, doc_id long, n long, ids binary")
+    encoded = rows.mapInArrow(trimmed(encode), "part int, key long, doc_id long, n long, ids binary")
     return (
         encoded.repartitionById(n, F.col("part")).sortWithinPartitions("part", "key", "doc_id", "n", "ids")
-        .mapInArrow(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+        .mapInArrow(trimmed(cut), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import fitted, labelled, loaded, small_batches, table, teaching_rows
+from .shared import fitted, labelled, loaded, small_batches, table, teaching_rows, trimmed
 
 BITS = 18
 #: Teaching texts of each label at most, and characters of the longest one.
@@ -28,6 +28,8 @@ TRAIN_ROWS, TRAIN_CHARS = 2000, 200_000
 #: A document is kept where its calibrated probability of good quality reaches this.
 KEEP_AT = 0.5
 MIN_WORDS, REPEAT_SHARE = 10, 20
+#: Bytes of text handled at a time: their n-grams take some 100 times as much.
+SLICE = 512 << 10
 U = np.uint64
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -104,7 +106,7 @@ def features(texts: list[str | None]):
     """Per text sorted slots and their shares (each kind of n-gram sums to 1)."""
     buf, offs = K.utf8(pa.array([t or "" for t in texts], pa.large_string()))
     out = [[] for _ in texts]
-    for lo, hi in K.slices(offs):
+    for lo, hi in K.slices(offs, SLICE):
         part, po = buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo]
         starts, ends, row = K.spans(part, po)
         word = K.span_hashes(part, starts, ends)
@@ -189,12 +191,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT)
         for batch in batches:
             buf, offs = K.utf8(K.text_column(batch))
             ids = batch.column(0)
-            for lo, hi in K.slices(offs):
+            for lo, hi in K.slices(offs, SLICE):
                 c, failed, q, kept = judged(loaded(model), buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], keep_at)
                 names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
                 yield pa.RecordBatch.from_arrays([ids.slice(lo, hi - lo), *(pa.array(c[k], pa.int64()) for k in names), pa.array(failed), pa.array(q), pa.array(kept)], names=["doc_id", *names, "base_failed", "quality", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(judge, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(trimmed(judge), SCHEMA)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
@@ -205,10 +207,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> D
     def judge(batches):
         for batch in batches:
             buf, offs = K.utf8(K.text_column(batch))
-            for lo, hi in K.slices(offs):
+            for lo, hi in K.slices(offs, SLICE):
                 yield batch.slice(lo, hi - lo).filter(pa.array(judged(loaded(model), buf[offs[lo] : offs[hi]], offs[lo : hi + 1] - offs[lo], keep_at)[3]))
 
-    return docs.mapInArrow(judge, docs.schema)
+    return docs.mapInArrow(trimmed(judge), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,12 +123,21 @@ def trim() -> None:
     """Gives the memory that a worker no longer uses back to the system; workers live on for later tasks."""
     import ctypes
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def trimmed(run):
+    """A function of batches, after which the worker's free memory goes back."""
+
+    def whole(batches):
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
 @functools.lru_cache(maxsize=4)
 def _loaded(data: bytes):
     return pickle.loads(data)
