@@ -65,7 +65,6 @@ _DECIDED = f"""k(k, acq, zone) AS ({_ROWS}),
 
 @query_of(f", {_DECIDED}", "px")
 def mosaic_decisions(spark, sf_dir):
-    asked = requests_of(spark, sf_dir)
-    boxes = asked.select("req", F.col("w").alias("west"), F.col("s").alias("south"), F.col("e").alias("east"), F.col("n").alias("north"))
-    points = P.request_lattice(boxes, 1.0, 1.0, least=8, key="req")
-    return choice.decided(asked, catalog_of_masks(spark, sf_dir), points, GRID)
+    edges = [F.col(c).alias(name) for c, name in (("w", "west"), ("s", "south"), ("e", "east"), ("n", "north"))]
+    lattice = lambda asked: P.request_lattice(asked.select("req", *edges), 1.0, 1.0, least=8, key="req")
+    return choice.decided_once(requests_of(spark, sf_dir), catalog_of_masks(spark, sf_dir), lattice, GRID)

@@ -32,3 +32,14 @@ def test_composition_beyond_the_pole(spark, con, tmp_path):
     con.execute(f"COPY (SELECT vec_id + 6000 + 50 * k AS vec_id, embedding FROM '{SF}/embeddings.parquet', range(0, 40) r(k) WHERE vec_id < 50) TO '{tmp_path}/embeddings.parquet'")
     got, want = both(spark, con, tmp_path, "compose_by_owner")
     assert got == want and 0 < len(want) < 400
+
+
+def test_equal_requests_are_decided_once(spark, con, tmp_path, monkeypatch):
+    from rastrum.operators import choice
+
+    con.execute(f"COPY (FROM '{SF}/embeddings.parquet') TO '{tmp_path}/embeddings.parquet'")
+    con.execute(f"COPY (SELECT c_custkey % 7 + 143 * c_custkey AS c_custkey FROM '{SF}/customer.parquet') TO '{tmp_path}/customer.parquet'")
+    seen, decided = [], choice.decided
+    monkeypatch.setattr(choice, "decided", lambda requests, *a: seen.append(requests.count()) or decided(requests, *a))
+    got, want = both(spark, con, tmp_path, "mosaic_decisions")
+    assert got == want and seen == [7] and len(got) > 100
