@@ -23,16 +23,16 @@ class Completion(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("tile", "px array<int>, parts int, scene string, done boolean")
+        self.state = handle.getValueState("tile", "px array<int>, parts int, scene string, done boolean, until long")
 
     def _told(self, key, px, parts, scene, status: str) -> Row:
         return Row(tile_id=key[0], status=status, parts=parts, missing=int((px == self.nodata).sum()), last_scene=scene, px=px.tolist())
 
     def handleInputRows(self, key, rows, timerValues):
-        px, parts, scene, done = None, 0, None, False
-        if self.state.exists():
-            px, parts, scene, done = self.state.get()
-            px = np.array(px, np.int64)
+        # Each call of the state is a round trip, so there is one to get, one to put, and one timer that moves itself on.
+        held = self.state.get()
+        px, parts, scene, done, _ = held or (None, 0, None, False, 0)
+        px = None if px is None else np.array(px, np.int64)
         newest = -1
         for r in sorted(rows, key=lambda r: (r["at"], r["scene_id"] or "")):
             if r["px"] is None:
@@ -47,13 +47,16 @@ class Completion(StatefulProcessor):
                 done = True
                 yield self._told(key, px, parts, scene, "complete")
         if newest >= 0:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(newest + self.patience * DAY)
-            self.state.update(([] if done else px.tolist(), parts, scene, done))
+            until = newest + self.patience * DAY
+            if not held:
+                self.handle.registerTimer(until)
+            self.state.update(([] if done else px.tolist(), parts, scene, done, until))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        px, parts, scene, done = self.state.get()
+        px, parts, scene, done, until = self.state.get()
+        if until > timerValues.getCurrentWatermarkInMs():  # parts came since
+            self.handle.registerTimer(until)
+            return
         if not done:
             yield self._told(key, np.array(px, np.int64), parts, scene, "abandoned")
         self.state.clear()
@@ -92,7 +95,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark)
     parts = parts_of(view(spark, sf_dir, "px"))
     tick = spark.createDataFrame([(-1, None, None, None)], "tile_id long, scene_id string, at timestamp, px array<int>").withColumn("at", F.timestamp_seconds(F.lit(1717200000 + 100 * 86_400)))
-    staged(parts, f"{base}/in", F.right("scene_id", F.lit(1)).cast("int"), 5, tick)
-    told = run(spark, f"{base}/in", base, parts.schema)
+    for _ in staged(parts, f"{base}/in", F.right("scene_id", F.lit(1)).cast("int"), 5, tick):
+        told = run(spark, f"{base}/in", base, parts.schema)
     digest = F.aggregate(F.transform("px", lambda v, i: v.cast("long") * (i + 1)), F.lit(0).cast("long"), lambda a, v: a + v)
     return told.select("tile_id", "status", "parts", "missing", "last_scene", digest.alias("digest"))

@@ -71,10 +71,10 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events of some months as a file stream in no order of time, upserted by user and type: the newest of each."""
     base = work_dir(spark)
     rows = by_months(spark, sf_dir)
-    staged(rows, f"{base}/in", F.pmod(F.xxhash64("event_id"), F.lit(4)), 4)
-    stream = file_stream(spark, f"{base}/in", rows.schema, files=2)
     target = f"{base}/tiles"
-    drained(stream.writeStream.foreachBatch(upsert_into(spark, target, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])), f"{base}/checkpoint")
+    for _ in staged(rows, f"{base}/in", F.pmod(F.xxhash64("event_id"), F.lit(4)), 4):
+        stream = file_stream(spark, f"{base}/in", rows.schema)
+        drained(stream.writeStream.foreachBatch(upsert_into(spark, target, ["user_id", "event_type"], [F.col("ts").desc(), F.col("event_id").desc()])), f"{base}/checkpoint")
     return current(spark, target, rows.schema).select("event_id", "user_id", "event_type", "ts", "ym")
 
 
@@ -83,6 +83,6 @@ def rates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_dir(spark)
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value")
     tick = spark.createDataFrame([(None, "tick", None, None)], events.schema).withColumn("ts", F.expr("timestamp'2100-01-01 00:00:00'"))
-    staged(events, f"{base}/in", F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), 4, tick)
-    drained(rates(file_stream(spark, f"{base}/in", events.schema)).writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"), f"{base}/checkpoint")
+    for _ in staged(events, f"{base}/in", F.least(F.floor((F.dayofmonth("ts") - 1) / 8), F.lit(3)), 4, tick):
+        drained(rates(file_stream(spark, f"{base}/in", events.schema)).writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"), f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").select(F.col("event_type").alias("band"), F.col("window.start").cast("timestamp_ntz").alias("t"), "n", "cents")

@@ -43,3 +43,12 @@ def test_equal_requests_are_decided_once(spark, con, tmp_path, monkeypatch):
     monkeypatch.setattr(choice, "decided", lambda requests, *a: seen.append(requests.count()) or decided(requests, *a))
     got, want = both(spark, con, tmp_path, "mosaic_decisions")
     assert got == want and seen == [7] and len(got) > 100
+
+
+def test_a_turn_of_many_files_is_one_micro_batch(spark, tmp_path):
+    from rastrum.streaming import completion
+
+    parts = spark.range(20).selectExpr("id % 4 AS tile_id", "'a' AS scene_id", "timestamp'2024-06-01' AS at", "array(1, 2) AS px")
+    parts.repartition(5).write.parquet(f"{tmp_path}/in")
+    told = completion.run(spark, f"{tmp_path}/in", f"{tmp_path}/run", parts.schema)
+    assert told.count() == 4 and len([f for f in os.listdir(f"{tmp_path}/run/checkpoint/commits") if f.isdigit()]) <= 2
