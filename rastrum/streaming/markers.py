@@ -29,10 +29,11 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("user_id", F.col("event_id").alias("step"), F.col("ts").cast("timestamp").alias("ts"), "event_type")
     tick = spark.createDataFrame([(-1, None, None, None)], events.schema).withColumn("ts", F.expr("timestamp'2100-01-01 00:00:00'"))
     turn = F.least(F.floor((F.dayofmonth("ts") - 1) / 6), F.lit(4))
-    staged(events.where("event_type = 'view'"), f"{base}/steps", turn, 5, tick)
-    staged(events.where("event_type = 'signup'"), f"{base}/markers", turn + 1, 6, tick)
-    steps = file_stream(spark, f"{base}/steps", events.schema).select("user_id", "step", "ts")
-    markers = file_stream(spark, f"{base}/markers", events.schema).select("user_id", F.col("step").alias("marker"), F.col("ts").alias("m_ts"))
-    drained(gated(steps, markers, "user_id").writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"), f"{base}/checkpoint")
+    views = staged(events.where("event_type = 'view'"), f"{base}/steps", turn, 6, tick)  # both end in one turn: a watermark of two sources is known for those that a run has seen
+    signups = staged(events.where("event_type = 'signup'"), f"{base}/markers", turn + 1, 6, tick)
+    for _ in zip(views, signups):
+        steps = file_stream(spark, f"{base}/steps", events.schema).select("user_id", "step", "ts")
+        markers = file_stream(spark, f"{base}/markers", events.schema).select("user_id", F.col("step").alias("marker"), F.col("ts").alias("m_ts"))
+        drained(gated(steps, markers, "user_id").writeStream.format("parquet").outputMode("append").option("path", f"{base}/out"), f"{base}/checkpoint")
     told = first_marker(spark.read.parquet(f"{base}/out").where("user_id >= 0"), "user_id")
     return told.select("user_id", "step", F.col("ts").cast("timestamp_ntz").alias("ts"), "status", "marker", F.col("m_ts").cast("timestamp_ntz").alias("m_ts"))
