@@ -31,21 +31,19 @@ def _turn(log: Log, own: str) -> int:
     return sum(s.getPath().getName().startswith(own) for s in log._list("_tmp"))
 
 
-def scenes(spark: SparkSession, folder: str, schema, files: int | None = 10, size: str = "256m") -> DataFrame:
+def scenes(spark: SparkSession, folder: str, schema, files: int | None = 10, size: int = 256 << 20) -> DataFrame:
     """A stream of scene files, of which a flush takes so many at most; files=None: so many bytes."""
     name, most = ("maxFilesPerTrigger", files) if files else ("maxBytesPerTrigger", size)
     return spark.readStream.schema(schema).option(name, most).parquet(folder)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of obs as a stream of files into a store, stopped half way and taken up again, then sealed: what each band and month holds, and in how many appends it came."""
+    """The rows of obs as a stream of files into a store, stopped after each turn and taken up again, then sealed: what each band and month holds, and in how many appends it came."""
     base = work_dir(spark)
     obs = view(spark, sf_dir, "obs")
-    run = lambda: drained(scenes(spark, f"{base}/in", obs.schema, 1).writeStream.foreachBatch(append_to(spark, f"{base}/tiles", "obs", 3, store.TIES)), f"{base}/checkpoint")
-    staged(obs.where("l_linenumber <= 4"), f"{base}/in", F.col("l_linenumber") - 1, 4)
-    run()
-    staged(obs.where("l_linenumber > 4"), f"{base}/in", F.least(F.col("l_linenumber"), F.lit(6)) - 5, 2)
-    run()
+    run = lambda: drained(scenes(spark, f"{base}/in", obs.schema, None, 1 << 30).writeStream.foreachBatch(append_to(spark, f"{base}/tiles", "obs", 3, store.TIES)), f"{base}/checkpoint")
+    for _ in staged(obs, f"{base}/in", F.least(F.col("l_linenumber"), F.lit(6)) - 1, 6):
+        run()
     store.compact(spark, f"{base}/tiles", store.TIES)
     tiles = store.scan(spark, f"{base}/tiles")
     return tiles.groupBy("band", F.col("ym").alias("month")).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("bytes"), F.max("fetched_at").alias("newest"))
