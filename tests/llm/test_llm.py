@@ -372,6 +372,23 @@ def test_similar_passages_made_of_common_lines(spark):
     assert sum(share) / 40 >= 0.99 and min(share) > 0.9 and not any(i in got for i in range(300))
 
 
+def test_partners_in_a_crowd_around_one_stretch(spark):
+    import pyarrow as pa
+
+    # All documents have one stretch of 40 words, too short for a passage; two each go on alike, but for one word. The key's place is the stretch's first.
+    first = lambda t: substring_dedup._function(next(substring_dedup.shingled(pa.array([t]), 5))[2], 0)
+    core = min((passage(40, 20_000 + i) for i in range(3000)), key=lambda t: int(first(t)[0]))
+    assert first(core).argmin() == 0
+    rows = [(0, f"{passage(30, 30_000)} {core} {passage(31, 30_001)}")]
+    for i in range(1, 31):
+        after = passage(30, 31_000 + i)
+        rows += [(100 * k + i, f"{passage(30, 32_000 + 100 * k + i)} {core} edit{k}_{i} {after}") for k in (1, 2)]
+    assert sum(key_place(t) == 30 for _, t in rows) >= 58
+    got = covered_words(spark, rows)
+    share = [len(got.get(200 + i, set()) & set(range(30, 101))) / 71 for i in range(1, 31)]
+    assert sum(share) / 30 >= 0.9 and not any(i in got for i in range(100))
+
+
 def test_two_texts_under_one_id_and_repeated_rows(spark):
     shared, own = passage(70, 81), passage(120, 82)
     rows = [(1, shared), (2, f"{shared} {passage(9, 83)}"), (2, own), (3, own + " more"), (None, shared + " tail"), (4, "  " + shared + "\n"), (None, None), (5, "")] + [(6, passage(80, 84))] * 50
