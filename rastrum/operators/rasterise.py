@@ -4,8 +4,9 @@ A polygon is a row with `parts`, an array of parts, each an array of rings, each
 array of points [x, y] in pixels of the lattice (x to the east, y down the rows). A
 point is inside where any part holds it, a part by the even-odd rule over its rings,
 so rings after the first are holes. The polygon's edges, not the polygon, are dealt
-to the rows of tiles that they cross, and a task walks the edges of one polygon in
-one row of tiles: a country's outline costs each row of tiles the edges in it.
+to the rows of tiles that they cross, and a task draws the edges of many
+polygons in their rows of tiles at once: a country's outline costs each row of tiles
+the edges in it.
 """
 
 from __future__ import annotations
@@ -41,45 +42,64 @@ def edges(polygons: DataFrame) -> DataFrame:
     return out.select("poly", "part", p("a", 0).alias("x0"), p("a", 1).alias("y0"), p("b", 0).alias("x1"), p("b", 1).alias("y1")).where("x0 <> x1 or y0 <> y1")
 
 
-def band(part: np.ndarray, e: np.ndarray, ty: int, edge: int):
-    """Of one polygon's edges (rows x0, y0, x1, y1) in a row of tiles: the first tile's x, and whether pixels are inside by their centres, and touched (both: edge rows x columns of whole tiles)."""
+def bands(part: np.ndarray, e: np.ndarray, group: np.ndarray, ty: np.ndarray, edge: int):
+    """Of the edges (rows x0, y0, x1, y1) of polygons in rows of tiles, dealt to groups 0, 1, ... (sorted) in the rows of tiles ty: for each tile its group and x, and whether its pixels are inside by their centres, and touched (both: tiles x pixels, row by row). All groups at once."""
     x0, y0, x1, y1 = e
-    first = int(np.floor(min(x0.min(), x1.min()) / edge))
-    last = int(np.floor(max(x0.max(), x1.max()) / edge))
-    wide, top = (last - first + 1) * edge, ty * edge
-    inside, touched = np.zeros((edge, wide), bool), np.zeros((edge, wide), bool)
-    x0, x1 = x0 - first * edge, x1 - first * edge
-    y0, y1 = y0 - top, y1 - top
-    # Centres: where a row's middle crosses an edge, all pixels from there on change sides.
+    n = len(ty)
+    begin = np.searchsorted(group, np.arange(n))
+    first = np.floor(np.minimum.reduceat(np.minimum(x0, x1), begin) / edge).astype(np.int64)
+    last = np.floor(np.maximum.reduceat(np.maximum(x0, x1), begin) / edge).astype(np.int64)
+    tiles = last - first + 1
+    wide, at_tile = tiles * edge, np.cumsum(tiles) - tiles
+    inside, touched = (np.zeros(int(tiles.sum()) * edge * edge, bool) for _ in range(2))
+    # Where a pixel of a group is among the tiles' pixels.
+    place = lambda g, row, col: (at_tile[g] + col // edge) * edge * edge + row * edge + col % edge
+    x0, x1 = x0 - (first * edge)[group], x1 - (first * edge)[group]
+    y0, y1 = y0 - (ty * edge)[group], y1 - (ty * edge)[group]
     low, high = np.minimum(y0, y1), np.maximum(y0, y1)
-    begin, stop = np.clip(np.ceil(low - 0.5), 0, edge).astype(np.int64), np.clip(np.ceil(high - 0.5), 0, edge).astype(np.int64)
-    n = np.maximum(stop - begin, 0)
-    own = np.repeat(np.arange(len(n)), n)
-    row = begin[own] + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-    cross = x0[own] + (row + 0.5 - y0[own]) * ((x1 - x0)[own] / np.where(y1 != y0, y1 - y0, 1.0)[own])
-    col = np.clip(np.ceil(cross - 0.5), 0, wide).astype(np.int64)
-    order = np.argsort(part[own], kind="stable")
-    for some in np.split(order, np.flatnonzero(np.diff(part[own][order])) + 1) if len(order) else []:
-        lo = int(col[some].min())
-        turns = np.zeros((edge, int(col[some].max()) - lo + 1), np.int64)
-        np.add.at(turns, (row[some], col[some] - lo), 1)
-        odd = np.cumsum(turns, 1) % 2 == 1
-        inside[:, lo : lo + odd.shape[1]] |= odd[:, : wide - lo]
+    steep = np.where(y1 != y0, y1 - y0, 1.0)
+
+    def rows_of(start, stop):
+        start, stop = np.clip(start, 0, edge).astype(np.int64), np.clip(stop, 0, edge).astype(np.int64)
+        m = np.maximum(stop - start, 0)
+        own = np.repeat(np.arange(len(m)), m)
+        return own, start[own] + np.arange(len(own)) - np.repeat(np.cumsum(m) - m, m)
+
+    def spread(owner, left, m):
+        """Each owner's number m times, and the columns from left on."""
+        own = np.repeat(owner, m)
+        return own, np.repeat(left, m) + np.arange(len(own)) - np.repeat(np.cumsum(m) - m, m)
+
+    # Centres: where a row's middle crosses an edge, all pixels from there on change sides; so between two crossings of a part in a row.
+    own, row = rows_of(np.ceil(low - 0.5), np.ceil(high - 0.5))
+    cross = x0[own] + (row + 0.5 - y0[own]) * ((x1 - x0)[own] / steep[own])
+    col = np.clip(np.ceil(cross - 0.5), 0, wide[group[own]]).astype(np.int64)
+    order = np.lexsort((col, row, part[own], group[own]))
+    own, row, col = own[order], row[order], col[order]
+    g, p = group[own], part[own]
+    new = np.r_[True, (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | (row[1:] != row[:-1])] if len(g) else np.zeros(0, bool)
+    turn = np.arange(len(g)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    opens = np.flatnonzero(turn % 2 == 0)
+    more = (opens + 1 < len(g)) & ~np.r_[new, True][opens + 1]
+    end = np.where(more, col[np.minimum(opens + 1, len(g) - 1)], wide[g[opens]]) if len(opens) else opens
+    who, c = spread(opens, col[opens], np.maximum(end - col[opens], 0))
+    inside[place(g[who], row[who], c)] = True
     # Edges: in each row of pixels the columns from where an edge comes in to where it goes out.
-    begin, stop = np.clip(np.floor(low), 0, edge).astype(np.int64), np.clip(np.floor(high) + 1, 0, edge).astype(np.int64)
-    n = np.maximum(stop - begin, 0)
-    own = np.repeat(np.arange(len(n)), n)
-    row = begin[own] + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-    at = lambda y: x0[own] + (y - y0[own]) * ((x1 - x0)[own] / np.where(y1 != y0, y1 - y0, 1.0)[own])
+    own, row = rows_of(np.floor(low), np.floor(high) + 1)
+    at = lambda y: x0[own] + (y - y0[own]) * ((x1 - x0)[own] / steep[own])
     flat = (y0 == y1)[own]
     a, b = at(np.maximum(low[own], row)), at(np.minimum(high[own], row + 1.0))
     a, b = np.where(flat, x0[own], a), np.where(flat, x1[own], b)
-    left, right = (np.clip(np.floor(v), 0, wide - 1).astype(np.int64) for v in (np.minimum(a, b), np.maximum(a, b)))
-    runs = np.zeros((edge, wide + 1), np.int64)
-    np.add.at(runs, (row, left), 1)
-    np.add.at(runs, (row, right + 1), -1)
-    touched = np.cumsum(runs, 1)[:, :wide] > 0
-    return first, inside, inside | touched
+    g = group[own]
+    left, right = (np.clip(np.floor(v), 0, wide[g] - 1).astype(np.int64) for v in (np.minimum(a, b), np.maximum(a, b)))
+    who, c = spread(np.arange(len(own)), left, right - left + 1)
+    touched[place(g[who], row[who], c)] = True
+    owner = np.repeat(np.arange(n), tiles)
+    return owner, first[owner] + np.arange(len(owner)) - at_tile[owner], inside.reshape(-1, edge * edge), (inside | touched).reshape(-1, edge * edge)
+
+
+#: Pixels of the groups that are drawn at once, and edges that a task gathers for that.
+PIXELS, EDGES = 1 << 22, 1 << 16
 
 
 def masks(polygons: DataFrame, edge: int) -> DataFrame:
@@ -88,37 +108,68 @@ def masks(polygons: DataFrame, edge: int) -> DataFrame:
     row = lambda v: F.floor(v / edge).cast("long")
     dealt = found.withColumn("y", F.explode(F.sequence(row(F.least("y0", "y1")), row(F.greatest("y0", "y1")))))
 
-    def run(key, t):
-        poly, ty = (k.as_py() for k in key)
-        first, inside, touched = band(t.column("part").to_numpy(), np.stack([t.column(c).to_numpy() for c in ("x0", "y0", "x1", "y1")]), ty, edge)
-        out = {c: [] for c in ("poly", "x", "y", "centre", "touched")}
-        for k in np.flatnonzero(touched.reshape(edge, -1, edge).any((0, 2))).tolist():
-            part = slice(k * edge, (k + 1) * edge)
-            for c, v in zip(out, (poly, first + k, ty, np.packbits(inside[:, part]).tobytes(), np.packbits(touched[:, part]).tobytes())):
-                out[c].append(v)
-        return pa.table({c: pa.array(v, pa.binary() if c in ("centre", "touched") else pa.int64()) for c, v in out.items()})
+    def drawn(t):
+        """Rows of MASKS of whole groups, in slices of PIXELS."""
+        poly, y, part = t.column("poly"), t.column("y").to_numpy(), t.column("part").to_numpy()
+        name = np.stack([poly.fill_null(0).to_numpy(), poly.is_null().to_numpy(zero_copy_only=False).astype(np.int64), y])
+        e = np.stack([t.column(c).to_numpy() for c in ("x0", "y0", "x1", "y1")])
+        begin = np.flatnonzero(np.r_[True, (name[:, 1:] != name[:, :-1]).any(0)])
+        span = (np.maximum.reduceat(np.maximum(e[0], e[2]), begin) - np.minimum.reduceat(np.minimum(e[0], e[2]), begin) + 2 * edge) * edge
+        cuts = np.flatnonzero(np.diff(np.cumsum(span) // PIXELS, prepend=-1))
+        for i, j in zip(cuts, np.r_[cuts[1:], len(begin)]):
+            lo, hi = begin[i], begin[j] if j < len(begin) else len(y)
+            group = np.repeat(np.arange(j - i), np.diff(np.r_[begin[i:j], hi]))
+            owner, x, inside, touched = bands(part[lo:hi], e[:, lo:hi], group, y[begin[i:j]], edge)
+            some = np.flatnonzero(touched.any(1))
+            own = poly.take(pa.array(begin[i:j][owner[some]])).cast(pa.int64())
+            packed = [pa.array([m.tobytes() for m in np.packbits(v[some], axis=1)], pa.binary()) for v in (inside, touched)]
+            yield pa.RecordBatch.from_arrays([own, pa.array(x[some]), pa.array(y[begin[i:j]][owner[some]]), *packed], names=["poly", "x", "y", "centre", "touched"])
 
-    return dealt.groupBy("poly", "y").applyInArrow(run, MASKS)
+    def run(batches):
+        # Rows are sorted by group; the last group of what is there may go on.
+        held, n = [], 0
+        for b in batches:
+            held.append(b)
+            n += b.num_rows
+            if n < EDGES:
+                continue
+            t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            poly, y = t.column("poly"), t.column("y").to_numpy()
+            other = np.flatnonzero((y != y[-1]) | (poly.fill_null(0).to_numpy() != (poly[-1].as_py() or 0)) | (poly.is_null().to_numpy(zero_copy_only=False) == poly[-1].is_valid))
+            end = int(other[-1]) + 1 if len(other) else 0
+            if end:
+                yield from drawn(t.slice(0, end))
+            held, n = [t.slice(end)], 0
+        if held and sum(b.num_rows for b in held):
+            yield from drawn(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+
+    return dealt.repartition("poly", "y").sortWithinPartitions("poly", "y").mapInArrow(run, MASKS)
 
 
 def clipped(tiles: DataFrame, found: DataFrame, nodata: int, all_touched: bool = True) -> DataFrame:
     """Tiles (x, y, px array<int>, and other columns) with each polygon (`poly`) that touches them; pixels outside it are nodata."""
-    by = "touched" if all_touched else "centre"
-    columns = ["poly", *tiles.columns]
-    joined = found.select("poly", "x", "y", F.col(by).alias("_mask")).join(tiles, ["x", "y"]).select(*columns, "_mask")
-    kinds = dict(tiles.dtypes) | {"poly": "long"}
+    return clipped_by(tiles, found, nodata, {"px": "touched" if all_touched else "centre"})
+
+
+def clipped_by(tiles: DataFrame, found: DataFrame, nodata: int, rules: dict[str, str]) -> DataFrame:
+    """Tiles as in clipped(), cut by several rules at once: for each rule a column with its pixels. rules: column, and which mask it is cut by."""
+    rest = [c for c in tiles.columns if c != "px"]
+    columns = ["poly", *(tiles.columns if "px" in rules else rest), *(c for c in rules if c != "px")]
+    joined = found.select("poly", "x", "y", *(F.col(by).alias(f"_{name}") for name, by in rules.items())).join(tiles, ["x", "y"]).select("poly", *tiles.columns, *(f"_{name}" for name in rules))
+    kinds = dict(tiles.dtypes) | {"poly": "long"} | {name: dict(tiles.dtypes)["px"] for name in rules}
 
     def run(batches):
         for b in batches:
-            at = b.schema.get_field_index("px")
-            px = b.column(at)
-            flat = px.flatten().to_numpy(zero_copy_only=False).copy()
-            bits = [np.unpackbits(np.frombuffer(m.as_buffer(), np.uint8)) for m in b.column(b.num_columns - 1)]
-            keep = np.concatenate([v[:n] for v, n in zip(bits, np.diff(np.asarray(px.offsets)))] or [np.zeros(0, np.uint8)]).astype(bool)
-            flat[~keep] = nodata
-            out = list(b.columns[:-1])
-            out[at] = pa.ListArray.from_arrays(pa.array(np.asarray(px.offsets) - np.asarray(px.offsets)[0]), pa.array(flat))
-            yield pa.RecordBatch.from_arrays(out, names=columns)
+            px = b.column(b.schema.get_field_index("px"))
+            offsets = np.asarray(px.offsets)
+            made = {c: b.column(b.schema.get_field_index(c)) for c in ["poly", *rest]}
+            for name in rules:
+                flat = px.flatten().to_numpy(zero_copy_only=False).copy()
+                bits = [np.unpackbits(np.frombuffer(m.as_buffer(), np.uint8)) for m in b.column(b.schema.get_field_index(f"_{name}"))]
+                keep = np.concatenate([v[:n] for v, n in zip(bits, np.diff(offsets))] or [np.zeros(0, np.uint8)]).astype(bool)
+                flat[~keep] = nodata
+                made[name] = pa.ListArray.from_arrays(pa.array(offsets - offsets[0]), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([made[c] for c in columns], names=columns)
 
     return joined.mapInArrow(run, ", ".join(f"`{c}` {kinds[c]}" for c in columns))
 

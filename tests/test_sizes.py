@@ -52,3 +52,12 @@ def test_a_turn_of_many_files_is_one_micro_batch(spark, tmp_path):
     parts.repartition(5).write.parquet(f"{tmp_path}/in")
     told = completion.run(spark, f"{tmp_path}/in", f"{tmp_path}/run", parts.schema)
     assert told.count() == 4 and len([f for f in os.listdir(f"{tmp_path}/run/checkpoint/commits") if f.isdigit()]) <= 2
+
+
+def test_polygons_are_drawn_once_for_both_rules(spark, con, tmp_path):
+    for t in ("customer", "embeddings"):
+        con.execute(f"COPY (FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+    got, want = both(spark, con, tmp_path, "clip_by_polygons")
+    plan = registry.queries()["clip_by_polygons"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    # Drawing and cutting, no task for each polygon and row of tiles.
+    assert got == want and len(got) > 100 and plan.count("MapInArrow") == 2 and "FlatMapGroupsInArrow" not in plan
