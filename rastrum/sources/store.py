@@ -35,8 +35,9 @@ def catalog_of(tiles: DataFrame) -> DataFrame:
 
 
 def sorted_rows(tiles: DataFrame) -> DataFrame:
-    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place."""
-    return with_partitions(tiles).repartition("res_group", "ym", F.floor(F.col("x") / 64), F.floor(F.col("y") / 64)).sortWithinPartitions("res_group", "ym", *SORT)
+    """Rows sorted within each month, so row groups prune by band, date and place; a month is dealt over tasks by place. Spark splits tasks beyond its advisory size (the hint), so that a task doesn't grow with what a month gets in one place."""
+    dealt = with_partitions(tiles).withColumns({"_x": F.floor(F.col("x") / 64), "_y": F.floor(F.col("y") / 64)}).hint("rebalance", "res_group", "ym", "_x", "_y")
+    return dealt.drop("_x", "_y").sortWithinPartitions("res_group", "ym", *SORT)
 
 
 def append(tiles: DataFrame, path: str, compact_above: int | None = None, ties: tuple[str, ...] = ()) -> list[str]:

@@ -61,3 +61,15 @@ def test_polygons_are_drawn_once_for_both_rules(spark, con, tmp_path):
     plan = registry.queries()["clip_by_polygons"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     # Drawing and cutting, no task for each polygon and row of tiles.
     assert got == want and len(got) > 100 and plan.count("MapInArrow") == 2 and "FlatMapGroupsInArrow" not in plan
+
+
+def test_a_month_in_one_place_is_split_over_tasks(spark):
+    from rastrum.sources import store
+
+    tiles = spark.range(300_000).selectExpr("'2024-06-01' AS date", "10.0 AS res", "'B' AS band", "0L AS x", "0L AS y", "sha2(string(id), 512) AS data").repartition(8)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "4MB")
+    try:
+        assert store.sorted_rows(tiles).rdd.getNumPartitions() > 3
+    finally:
+        spark.conf.unset(size)
