@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -571,3 +572,26 @@ def test_odd_rows_everywhere(spark, labels):
         for frame in (df, df.limit(0)):
             out = stage(frame)
             assert out.columns == df.columns and out.count() <= n
+
+
+def test_tiles_are_bounded_by_shingles(spark, monkeypatch):
+    """Sets of long texts meet in more tiles: before, 512 sets made a tile however large they were."""
+    monkeypatch.setattr(ngram_jaccard, "TILE_SHINGLES", 20_000)
+    rows = spark.createDataFrame([(7, i, i, 100) for i in range(100)], "key long, fp long, comp long, size long")
+    sizes = spark.createDataFrame([(i, 2_000) for i in range(100)], "fp long, n long")
+    met = ngram_jaccard._meetings(rows, sizes).collect()
+    groups = Counter((r["i"], r["j"]) for r in met)
+    assert max(groups.values()) * 2_000 <= 3 * 2 * 20_000
+    pairs = {(min(a["fp"], b["fp"]), max(a["fp"], b["fp"])) for a in met for b in met if (a["i"], a["j"]) == (b["i"], b["j"]) and a["fp"] != b["fp"]}
+    assert len(pairs) == 100 * 99 // 2
+
+
+def test_open_windows_have_their_shingles(spark):
+    """The windows that look for partners have their shingles beside them, and items how many windows hold them, so neither is shuffled anew for each round."""
+    seqs = [np.arange(i, i + 60, dtype=np.uint32) for i in range(3)]
+    docs = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(seqs)], "doc long, seq binary")
+    large = spark.createDataFrame([(5, i, i, 2, 20, 50, False, i > 0) for i in range(3)], "key long, doc long, ord long, l int, c int, r int, many boolean, open boolean")
+    windows, items = substring_dedup._held(large, docs, 4)
+    assert {r["doc"]: r["seq"] for r in windows.collect()} == {i: bytearray(seqs[i][2:51].tobytes()) if i else None for i in range(3)}
+    often = Counter(r["item"] for r in items.collect())
+    assert len(often) == 49 and all(r["often"] == often[r["item"]] for r in items.collect())
