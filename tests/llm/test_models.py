@@ -65,6 +65,24 @@ def test_kneser_ney_against_the_textbook():
         assert abs(total - 1) < 1e-9
 
 
+def test_languages_learn_from_every_teaching_text(spark):
+    """More texts than the 400 of a language that were read before, and longer ones than 200,000 characters: every n-gram counts."""
+    texts = [(f"aa bb {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}", "en") for i in range(600)] + [("xyz " * 60_000, "en"), ("und der hund " * 3, "de"), ("und die katze", "de")]
+    rows = [(*r, False) for r in texts]
+    df = spark.createDataFrame(rows, "text string, y string, apart boolean")
+    got = {}
+    for r in df.repartition(5).mapInArrow(language_id._counts, "y string, apart boolean, slot long, a long, b long, n long").collect():
+        gram = "".join(map(chr, (r["a"] >> 32, r["a"] & 0xFFFFFFFF, r["b"] >> 32, r["b"] & 0xFFFFFFFF)))
+        got[r["y"], gram] = got.get((r["y"], gram), 0) + r["n"]
+    want = Counter((y, ("   " + t)[i : i + 4]) for t, y in texts for i in range(len(t)))
+    assert {k: v for k, v in got.items() if k[1][-1] != " "} == {k: v for k, v in want.items() if k[1][-1] != " "}
+    model = language_id.loaded(language_id.learned(df))
+    plain = language_id.train([t for t, _ in texts], [y for _, y in texts])
+    assert model["names"] == plain["names"] == ["de", "en"] and model["alone"] == []
+    for a, b in zip(model["levels"], plain["levels"]):
+        assert (a["keys"] == b["keys"]).all() and np.allclose(a["log"], b["log"]) and np.allclose(a["left"], b["left"])
+
+
 def sigmoid(x):
     return 1 / (1 + math.exp(-x))
 
