@@ -595,3 +595,38 @@ def test_open_windows_have_their_shingles(spark):
     assert {r["doc"]: r["seq"] for r in windows.collect()} == {i: bytearray(seqs[i][2:51].tobytes()) if i else None for i in range(3)}
     often = Counter(r["item"] for r in items.collect())
     assert len(often) == 49 and all(r["often"] == often[r["item"]] for r in items.collect())
+
+
+def test_crowds_make_no_pairs(spark, monkeypatch):
+    """Windows that share much meet in tiles: before, every two of them were a row."""
+    monkeypatch.setattr(substring_dedup, "SMALL", 2)
+    monkeypatch.setattr(substring_dedup, "TILE", 16)
+    base, rows, seen = passage(140, 40_000).split(), [], {}
+    for i in range(60):
+        # A third of the words around the middle are own ones: any two are some 0.3 similar there, but share more than HITS shingles.
+        w = list(base)
+        for at in (10 + i % 7, 30 + i % 11, 52 + i % 5, 90 + i % 6, 112 + i % 13):
+            w[at] = f"o{i}_{at}"
+        rows.append((i, f"{passage(20, 41_000 + i)} {' '.join(w)} {passage(20, 42_000 + i)}"))
+    true_cut = substring_dedup.cut
+
+    def counted(df, what):
+        out = true_cut(df, what)
+        seen.setdefault(what, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(substring_dedup, "cut", counted)
+    got = covered_words(spark, rows)
+    # Pairs are those with the earliest holders only; of the rest, tasks give passages.
+    assert len(seen["pairs"]) == 1 and seen["pairs"][0] <= 4 * seen["met"][0] and len(seen["crowd"]) == 2
+    assert all(len(got[i]) >= 50 for i in range(30, 60))
+
+
+def test_packed_keys():
+    from rastrum.llm import meeting
+
+    rng = np.random.default_rng(3)
+    x = np.stack([np.sort(rng.integers(0, 1 << 32, 8192, np.uint32)), rng.integers(0, 2000, 8192, np.uint32)])
+    data = meeting.pack(x)
+    assert (meeting.unpack(data, 2) == x).all() and len(data) < 0.6 * x.nbytes
+    assert meeting.unpack(meeting.pack(x[:, :0]), 2).shape == (2, 0)
