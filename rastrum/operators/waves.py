@@ -14,12 +14,13 @@ from rastrum.operators.blobs import observed
 CLOUDY, NO_DATA = (1, 3, 8, 9, 10), 0
 
 
-def rebuilt(stored: DataFrame, scene: str, nodata: int = NO_DATA) -> DataFrame:
-    """(x, y, px) of the stored masks (x, y, scene_id, px array<int>) that hold a scene; one that several rows still share comes back merged, the fullest part first (ties: by scenes)."""
+def rebuilt(stored: DataFrame, scenes: str | tuple[str, ...], nodata: int = NO_DATA) -> DataFrame:
+    """(x, y, px) of the stored masks (x, y, scene_id, px array<int>) that hold a scene, or one of several; one that several rows still share comes back merged, the fullest part first (ties: by scenes)."""
+    asked = {scenes} if isinstance(scenes, str) else set(scenes)
 
     def run(key, t):
         rows = t.select(["scene_id", "px"]).to_pylist()
-        if not any(scene in (r["scene_id"] or "").split("|") for r in rows):
+        if not any(asked.intersection((r["scene_id"] or "").split("|")) for r in rows):
             return pa.table({"x": pa.array([], pa.int64()), "y": pa.array([], pa.int64()), "px": pa.array([], pa.list_(pa.int32()))})
         parts = sorted(((np.array(r["px"], np.int32), r["scene_id"] or "") for r in rows), key=lambda p: (-int(observed(p[0], nodata).sum()), p[1]))
         out = parts[0][0].copy()

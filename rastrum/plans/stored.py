@@ -161,8 +161,9 @@ def two_waves(px):
     maps = px.groupBy("tile_id", "vec_id", "scene_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", cls.alias("c")))), lambda s: s["c"].cast("int")).alias("px"))
     part = F.col("vec_id") % 5
     fresh = maps.where((part == 0) & (F.col("tile_id") % 3 == 0)).select(x, y, "px")
-    held = maps.where((part == 1) | (part == 3) & (F.col("tile_id") % 7 != 2)).select(x, y, F.when(part == 3, "scene_0|scene_3").otherwise(F.col("scene_id")).alias("scene_id"), "px")
-    masks = W.fresh_first(fresh, W.rebuilt(held, "scene_0"))
+    # As in the SQL, a seventh of the tiles isn't rebuilt, and the others are from whichever of both parts is there: the last tile may lack one.
+    held = maps.where(part.isin(1, 3) & (F.col("tile_id") % 7 != 2)).select(x, y, F.when(part == 3, "scene_0|scene_3").otherwise(F.col("scene_id")).alias("scene_id"), "px")
+    masks = W.fresh_first(fresh, W.rebuilt(held, ("scene_0", "scene_1")))
     rows = px.agg(F.max("tile_id")).first()[0] // 10 + 1
     planned = px.sparkSession.range(20).select(F.col("id").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(2 * rows - 1).cast("long"))).alias("y"))
     seen = W.judged(planned, masks, BANDS, MASKS)

@@ -34,6 +34,13 @@ def test_composition_beyond_the_pole(spark, con, tmp_path):
     assert got == want and 0 < len(want) < 400
 
 
+@pytest.mark.parametrize("n", [52, 53, 58])
+def test_masks_of_a_last_tile_that_lacks_a_part(spark, con, tmp_path, n):
+    con.execute(f"COPY (FROM '{SF}/embeddings.parquet' WHERE vec_id < {n}) TO '{tmp_path}/embeddings.parquet'")
+    got, want = both(spark, con, tmp_path, "two_waves")
+    assert got == want and len(want) == 80
+
+
 def test_equal_requests_are_decided_once(spark, con, tmp_path, monkeypatch):
     from rastrum.operators import choice
 
