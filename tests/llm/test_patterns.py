@@ -30,3 +30,23 @@ def test_pairs_without_a_full_band_are_passed_over():
             assert may or not substring_dedup.band_runs(x, y, low, low + 64, 46, 0.8)
         kept += int(ok.sum())
     assert 50 < kept < 1000
+
+
+def test_pairs_that_differ_too_often_are_passed_over():
+    rng, refused, found = np.random.default_rng(7), 0, 0
+    for _ in range(400):
+        x = rng.integers(0, 1 << 30, rng.integers(46, 260)).astype(np.uint32)
+        out, i, rate = rng.integers(0, 1 << 30, rng.integers(0, 60)).tolist(), 0, rng.choice([0.0, 0.02, 0.05, 0.1])
+        while i < len(x):
+            if rng.random() < rate:
+                out += rng.integers(0, 1 << 30, rng.integers(1, 6)).tolist()
+                i += int(rng.integers(0, 6))
+            else:
+                out.append(int(x[i]))
+                i += 1
+        y, d = np.array(out, np.uint32), int(rng.integers(0, 60)) if rng.random() < 0.7 else None
+        _, first, at = np.unique(np.concatenate([x, y]), return_index=True, return_inverse=True)
+        may, passages = substring_dedup.may_hold(first[at], len(x), 46, 0.8), list(substring_dedup._passages_of(x, y, d, d, 46, 0.8))
+        assert may or not passages
+        refused, found = refused + (not may), found + bool(passages)
+    assert refused > 20 and found > 200
